@@ -1,6 +1,6 @@
 """Column-level building blocks: every function returns a ``Column``."""
 
-from riskpipe.functions.columns import as_double, col, present
+from riskpipe.functions.columns import as_double, col, literal, present, quoted
 from riskpipe.functions.missing import is_missing, missing_cells
 from riskpipe.functions.risk import (
     class_probability,
@@ -14,9 +14,11 @@ __all__ = [
     "class_probability",
     "col",
     "is_missing",
+    "literal",
     "missing_cells",
     "missing_fields",
     "present",
+    "quoted",
     "risk_band",
     "risk_from_label",
 ]

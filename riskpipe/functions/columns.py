@@ -1,4 +1,8 @@
-"""Column references and casts."""
+"""Column references and casts.
+
+Expressions over many columns are written as SQL text: one parsed text per column plans several
+times faster than a tree of Python column objects.
+"""
 
 from __future__ import annotations
 
@@ -8,9 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text; it may hold spaces or dots."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def col(name: str) -> Column:
-    """Reference a column whose name may hold spaces or dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def present(df: DataFrame, names: Iterable[str]) -> list[str]:
@@ -21,4 +34,4 @@ def present(df: DataFrame, names: Iterable[str]) -> list[str]:
 
 def as_double(name: str) -> Column:
     """Cast to double; text that is no number becomes null, also under ANSI mode."""
-    return col(name).try_cast("double")
+    return F.expr(f"try_cast({quoted(name)} AS DOUBLE)")

@@ -8,27 +8,31 @@ ANSI mode.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, StringType
 
-from riskpipe.functions.columns import col
+from riskpipe.functions.columns import literal, quoted
 
 
-def is_missing(name: str, dtype: DataType, tokens: Sequence[str] = ("N/A", "")) -> Column:
-    cell = col(name)
+def missing_test(name: str, dtype: DataType, tokens: Sequence[str] = ("N/A", "")) -> str:
+    """The predicate as SQL text; never null."""
+    cell = quoted(name)
     if isinstance(dtype, (DoubleType, FloatType)):
-        return cell.isNull() | F.isnan(cell)
+        return f"({cell} IS NULL OR isnan({cell}))"
     if isinstance(dtype, StringType):
         # The text "NaN" reads as a number that is NaN, in any case and with outer blanks.
-        return cell.isNull() | cell.isin(*tokens) | (F.lower(F.trim(cell)) == "nan")
-    return cell.isNull()
+        texts = "".join(f" OR {cell} = {literal(token)}" for token in tokens)
+        return f"({cell} IS NULL{texts} OR lower(trim({cell})) = 'nan')"
+    return f"({cell} IS NULL)"
+
+
+def is_missing(name: str, dtype: DataType, tokens: Sequence[str] = ("N/A", "")) -> Column:
+    return F.expr(missing_test(name, dtype, tokens))
 
 
 def missing_cells(df: DataFrame, tokens: Sequence[str] = ("N/A", "")) -> Column:
     """Number of missing cells in the row, over all columns of ``df``."""
-    flags = [F.when(is_missing(f.name, f.dataType, tokens), 1).otherwise(0) for f in df.schema]
-    return reduce(add, flags)
+    tests = [missing_test(f.name, f.dataType, tokens) for f in df.schema]
+    return F.expr(" + ".join(f"IF({test}, 1, 0)" for test in tests))

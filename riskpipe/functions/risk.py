@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskpipe.functions.columns import literal
+
 HIGH, MEDIUM, LOW = "HIGH", "MEDIUM", "LOW"
 
 
@@ -44,14 +46,15 @@ def risk_from_label(
     )
 
 
-def missing_fields(fields: Mapping[str, Column]) -> Column:
-    """``'missing: a, b'`` naming the fields whose double value is null or NaN, else null."""
-    names = F.array_compact(
-        F.array(
-            *[
-                F.when(value.isNull() | F.isnan(value), F.lit(name))
-                for name, value in fields.items()
-            ]
-        )
+def missing_fields(fields: Mapping[str, str]) -> Column:
+    """``'missing: a, b'`` naming the fields whose double value is null or NaN, else null.
+
+    ``fields`` maps a name to the SQL text of its value.
+    """
+    if not fields:
+        return F.lit(None).cast("string")
+    names = ", ".join(
+        f"IF({value} IS NULL OR isnan({value}), {literal(name)}, NULL)"
+        for name, value in fields.items()
     )
-    return F.when(F.size(names) > 0, F.concat(F.lit("missing: "), F.array_join(names, ", ")))
+    return F.expr(f"'missing: ' || nullif(concat_ws(', ', {names}), '')")

@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskpipe.functions.columns import col
+from riskpipe.functions.columns import col, quoted
 from riskpipe.functions.risk import missing_fields, risk_band, risk_from_label
 from riskpipe.operators.training import RiskModel
 from riskpipe.spec import RECORD_KEYS, DatasetSpec
@@ -25,8 +25,8 @@ MISSING_MODES = ("error", "zero")
 
 def record_inputs(
     records: DataFrame, spec: DatasetSpec, missing: str = "error"
-) -> dict[str, Column]:
-    """The spec's input columns read from the record fields that feed them.
+) -> dict[str, str]:
+    """SQL text of the spec's input columns, read from the record fields that feed them.
 
     A field the records do not have reads as null.  With ``missing="zero"`` null numbers score as
     zero; a null text always scores as an unseen category.
@@ -37,15 +37,19 @@ def record_inputs(
     inputs = {}
     for name in spec.inputs:
         source = spec.record_field(name)
-        cell = col(source) if source in have else F.lit(None).cast("string")
+        cell = quoted(source) if source in have else "CAST(NULL AS STRING)"
         if name in spec.numeric:
-            cell = cell.try_cast("double")
+            cell = f"try_cast({cell} AS DOUBLE)"
             if missing == "zero":
-                cell = F.coalesce(cell, F.lit(0.0))
+                cell = f"coalesce({cell}, 0D)"
         inputs[name] = cell
     return inputs
 
 
+def _error(spec: DatasetSpec, inputs: Mapping[str, str]) -> Column:
+    return missing_fields({spec.record_field(n): inputs[n] for n in spec.numeric})
+
+
 def project_for(
     records: DataFrame,
     spec: DatasetSpec,
@@ -54,8 +58,9 @@ def project_for(
 ) -> DataFrame:
     """Records renamed to the spec's training columns, with the ``keep`` columns in front."""
     inputs = record_inputs(records, spec, missing)
-    return records.select(
-        *[col(name) for name in keep], *[cell.alias(name) for name, cell in inputs.items()]
+    return records.selectExpr(
+        *[quoted(name) for name in keep],
+        *[f"{cell} AS {quoted(name)}" for name, cell in inputs.items()],
     )
 
 
@@ -66,12 +71,8 @@ def score_errors(
     missing: str = "error",
 ) -> DataFrame:
     """``keep`` columns and ``error``: which inputs, if any, prevent a score."""
-    return records.select(*[col(n) for n in keep], _error(records, spec, missing).alias("error"))
-
-
-def _error(records: DataFrame, spec: DatasetSpec, missing: str) -> Column:
-    inputs = record_inputs(records, spec, missing)
-    return missing_fields({spec.record_field(n): inputs[n] for n in spec.numeric})
+    error = _error(spec, record_inputs(records, spec, missing))
+    return records.select(*[col(name) for name in keep], error.alias("error"))
 
 
 def _bound(stage: Transformer, prefix: str) -> Transformer:
@@ -80,6 +81,8 @@ def _bound(stage: Transformer, prefix: str) -> Transformer:
     for param in stage.params:
         if not param.name.endswith(("Col", "Cols")) or not stage.isDefined(param):
             continue
+        if stage.hasParam(f"{param.name}s") and stage.isDefined(stage.getParam(f"{param.name}s")):
+            continue  # the default of the one-column form, not in use
         value = stage.getOrDefault(param)
         renamed[param] = (
             [prefix + name for name in value]
@@ -107,8 +110,10 @@ def _score_wide(
     for name, model in models.items():
         prefix = prefixes[name]
         inputs = record_inputs(records, model.spec, missing)
-        wide += [cell.alias(prefix + column) for column, cell in inputs.items()]
-        wide.append(_error(records, model.spec, missing).alias(f"{prefix}error"))
+        wide += [
+            F.expr(f"{cell} AS {quoted(prefix + column)}") for column, cell in inputs.items()
+        ]
+        wide.append(_error(model.spec, inputs).alias(f"{prefix}error"))
 
     stages = [
         _bound(fitted, prefixes[name])

@@ -6,10 +6,9 @@ nothing but its id: any partitioning, any retry and any other engine with md5 gi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from riskpipe.functions.columns import col
+from riskpipe.functions.columns import quoted
 from riskpipe.spec import RECORD_FIELDS, RecordField
 
 FIRST_NAMES = ("Ada", "Bo", "Cleo", "Dara", "Eli", "Finn", "Gia", "Hugo", "Ines", "Jun")
@@ -19,22 +18,22 @@ SECONDS_APART = 5
 SLOTS = 6_307_200  # five-second steps in a 365-day year; later ids start the year again
 
 
-def _draw(field: str, key: Column, seed: int, low: int, high: int) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{seed}:{field}:"), key))
-    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return F.lit(low) + number % (high - low + 1)
+def _draw(field: str, key: str, seed: int, low: int, high: int) -> str:
+    """SQL for a whole number in ``low..high``."""
+    digest = f"substr(md5(concat('{seed}:{field}:', {key})), 1, 8)"
+    return f"({low} + CAST(conv({digest}, 16, 10) AS BIGINT) % {high - low + 1})"
 
 
-def _pick(field: str, key: Column, seed: int, choices: tuple[str, ...]) -> Column:
-    position = _draw(field, key, seed, 1, len(choices)).cast("int")
-    return F.element_at(F.array(*[F.lit(c) for c in choices]), position)
+def _pick(field: str, key: str, seed: int, choices: tuple[str, ...]) -> str:
+    listed = ", ".join(f"'{c}'" for c in choices)
+    return f"element_at(array({listed}), CAST({_draw(field, key, seed, 1, len(choices))} AS INT))"
 
 
-def _value(field: RecordField, key: Column, seed: int) -> Column:
+def _value(field: RecordField, key: str, seed: int) -> str:
     if field.choices:
         return _pick(field.name, key, seed, field.choices)
-    drawn = _draw(field.name, key, seed, field.low, field.high).cast("double")
-    return drawn / field.scale if field.scale > 1 else drawn
+    drawn = f"CAST({_draw(field.name, key, seed, field.low, field.high)} AS DOUBLE)"
+    return f"{drawn} / {field.scale}" if field.scale > 1 else drawn
 
 
 def synthesize_patients(
@@ -48,22 +47,14 @@ def synthesize_patients(
     ``source`` is a session, for the ids ``0..n-1``, or a frame with a whole-number ``id_column``.
     """
     ids = source.range(n) if isinstance(source, SparkSession) else source
-    key = col(id_column).cast("string")
-    patient_id = F.concat_ws(
-        "-",
-        F.lit("PAT"),
-        _pick("first", key, seed, FIRST_NAMES),
-        _pick("last", key, seed, LAST_NAMES),
-        _draw("number", key, seed, 1000, 9999).cast("string"),
-    )
+    number = quoted(id_column)
+    key = f"CAST({number} AS STRING)"
+    first, last = _pick("first", key, seed, FIRST_NAMES), _pick("last", key, seed, LAST_NAMES)
+    digits = _draw("number", key, seed, 1000, 9999)
     # A timestamp without zone, so the text does not move with the session's zone.
-    timestamp = F.timestamp_add(
-        "SECOND",
-        (col(id_column) % SLOTS * SECONDS_APART).cast("int"),
-        F.lit(START).cast("timestamp_ntz"),
-    ).cast("string")
-    return ids.select(
-        patient_id.alias("patient_id"),
-        timestamp.alias("timestamp"),
-        *[_value(f, key, seed).alias(f.name) for f in RECORD_FIELDS],
+    seconds = f"CAST({number} % {SLOTS} * {SECONDS_APART} AS INT)"
+    return ids.selectExpr(
+        f"concat_ws('-', 'PAT', {first}, {last}, {digits}) AS patient_id",
+        f"CAST(timestampadd(SECOND, {seconds}, TIMESTAMP_NTZ'{START}') AS STRING) AS timestamp",
+        *[f"{_value(f, key, seed)} AS {quoted(f.name)}" for f in RECORD_FIELDS],
     )

@@ -50,6 +50,7 @@ from riskpipe.sources import (
     read_raw,
     read_stream,
     read_table,
+    stage,
     staging_dir,
     synthesize_patients,
     write_report,
@@ -426,15 +427,17 @@ def _rounded_metrics(metrics: DataFrame) -> DataFrame:
 
 
 @lru_cache(maxsize=None)
-def _trained(application: str, sf_dir: str, name: str) -> TrainResult:
+def _trained(application: str, sf_dir: str) -> dict[str, TrainResult]:
     spark = SparkSession.getActiveSession()
-    return train(training_rows(spark, sf_dir, name), SPECS[name])
+    records = stage(patients(spark, sf_dir))
+    return {
+        name: train(stage(training_rows(records, name)), spec) for name, spec in SPECS.items()
+    }
 
 
 def trained(spark: SparkSession, sf_dir: str) -> dict[str, TrainResult]:
     """The four models, trained once per application and scale."""
-    application = spark.sparkContext.applicationId
-    return {name: _trained(application, sf_dir, name) for name in SPECS}
+    return _trained(spark.sparkContext.applicationId, sf_dir)
 
 
 def _models(spark: SparkSession, sf_dir: str) -> dict[str, RiskModel]:
@@ -467,11 +470,10 @@ def model_round_trip(spark, sf_dir):
     path = f"{staging_dir(spark)}/model"
     save_model(model, path)
     again = load_model(path, model.spec)
-    both = risk_profile(
-        patients(spark, sf_dir), {"before": model, "after": again}, pivot=True
-    )
+    records = stage(patients(spark, sf_dir))
+    both = risk_profile(records, {"before": model, "after": again}, pivot=True)
     return both.agg(
-        F.count("*").alias("n_rows"), F.count_if("before = after").alias("n_identical")
+        F.count("*").alias("n_rows"), F.expr("count_if(before = after)").alias("n_identical")
     )
 
 
@@ -602,7 +604,7 @@ def stream_matches_batch(spark, sf_dir):
     same = (
         streamed.unionByName(batch)
         .groupBy("patient_id", "timestamp", "dataset", "risk", "probability", "error")
-        .agg(F.sum("side").alias("surplus"), F.count_if("side = 1").alias("streamed"))
+        .agg(F.sum("side").alias("surplus"), F.expr("count_if(side = 1)").alias("streamed"))
     )
     return same.groupBy("dataset").agg(
         F.sum("streamed").alias("n_rows"),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskpipe.operators import project_for
-from riskpipe.sources import synthesize_patients
+from riskpipe.sources import stage, synthesize_patients
 from riskpipe.spec import SPECS, DatasetSpec
 
 DIRTY = DatasetSpec(
@@ -55,50 +55,49 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One complete record per customer, with the customer's key."""
+    """One complete record per customer."""
     customers = table(spark, sf_dir, "customer").select("c_custkey")
     return synthesize_patients(customers, id_column="c_custkey")
 
 
 def gappy_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records with some measurements missing."""
-    return patients(spark, sf_dir).withColumns(
-        {
-            "BMI": F.expr("IF(BMI > 45, NULL, BMI)"),
-            "avg_glucose_level": F.expr("IF(avg_glucose_level > 260, double('NaN'), avg_glucose_level)"),
-            "age_stroke": F.expr("IF(age_stroke < 25, NULL, age_stroke)"),
-            "smoking_status": F.expr("IF(smoking_status = 'Unknown', NULL, smoking_status)"),
-            "Snoring": F.expr("IF(Snoring = 7 AND Dry_Cough = 7, NULL, Snoring)"),
-        }
-    )
+    """The same records with some measurements missing.
+
+    Staged, as records come from files and not from hashes computed on the way.
+    """
+    gaps = {
+        "BMI": "IF(BMI > 45, NULL, BMI)",
+        "avg_glucose_level": "IF(avg_glucose_level > 260, double('NaN'), avg_glucose_level)",
+        "age_stroke": "IF(age_stroke < 25, NULL, age_stroke)",
+        "smoking_status": "IF(smoking_status = 'Unknown', NULL, smoking_status)",
+        "Snoring": "IF(Snoring = 7 AND Dry_Cough = 7, NULL, Snoring)",
+    }
+    records = patients(spark, sf_dir)
+    return stage(records.selectExpr(*[f"{gaps.get(c, c)} AS {c}" for c in records.columns]))
 
 
-def _points(*conditions: str) -> Column:
-    return F.expr(" + ".join(f"IF({c}, 1, 0)" for c in conditions))
+def _points(*conditions: str) -> str:
+    return " + ".join(f"IF({c}, 1, 0)" for c in conditions)
 
 
-def training_rows(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def training_rows(records: DataFrame, name: str) -> DataFrame:
     """A labelled table for one of the four datasets: its inputs plus a rule-made target."""
     spec = SPECS[name]
-    lung = F.expr("Air_Pollution + Smoking_lung + Genetic_Risk + Chest_Pain")
-    targets = {
-        "heart": (
-            _points("HighBP = 1", "HighChol = 1", "Smoker = 1", "Stroke = 1", "Age > 9", "BMI > 35")
-            >= 4
-        ).cast("double"),
-        "diabetes": (
-            _points("HighBP = 1", "BMI > 33", "GenHlth > 3", "Age > 8") >= 3
-        ).cast("double"),
-        "stroke": (
-            _points(
-                "age_stroke > 60",
-                "hypertension = 1",
-                "avg_glucose_level > 180",
-                "smoking_status = 'smokes'",
-            )
-            >= 3
-        ).cast("double"),
-        "lungcancer": F.when(lung >= 22, "High").when(lung >= 16, "Medium").otherwise("Low"),
-    }
-    records = patients(spark, sf_dir).withColumn("__target", targets[name])
-    return project_for(records, spec, keep=["__target"]).withColumnRenamed("__target", spec.target)
+    heart = _points("HighBP = 1", "HighChol = 1", "Smoker = 1", "Stroke = 1", "Age > 9", "BMI > 35")
+    diabetes = _points("HighBP = 1", "BMI > 33", "GenHlth > 3", "Age > 8")
+    stroke = _points(
+        "age_stroke > 60",
+        "hypertension = 1",
+        "avg_glucose_level > 180",
+        "smoking_status = 'smokes'",
+    )
+    lung = "Air_Pollution + Smoking_lung + Genetic_Risk + Chest_Pain"
+    target = {
+        "heart": f"CAST({heart} >= 4 AS DOUBLE)",
+        "diabetes": f"CAST({diabetes} >= 3 AS DOUBLE)",
+        "stroke": f"CAST({stroke} >= 3 AS DOUBLE)",
+        "lungcancer": f"CASE WHEN {lung} >= 22 THEN 'High' WHEN {lung} >= 16 THEN 'Medium' "
+        "ELSE 'Low' END",
+    }[name]
+    labelled = records.withColumn("__target", F.expr(target))
+    return project_for(labelled, spec, keep=["__target"]).withColumnRenamed("__target", spec.target)
