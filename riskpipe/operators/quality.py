@@ -14,6 +14,8 @@ from riskpipe.operators.profile import modes
 from riskpipe.operators.quantiles import quantiles
 from riskpipe.spec import DatasetSpec
 
+FEW_CASTS = 8  # casts that may share a projection with a filter above it
+
 
 def drop_ids(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Drop the spec's id columns; absent ones are ignored."""
@@ -21,8 +23,15 @@ def drop_ids(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def to_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Leniently cast the given columns that exist, all in one projection."""
-    return df.withColumns({name: as_double(name) for name in present(df, cols)})
+    """Leniently cast the given columns that exist and are not double yet, in one projection."""
+    types = dict(df.dtypes)
+    casts = {name: as_double(name) for name in present(df, cols) if types[name] != "double"}
+    if len(casts) <= FEW_CASTS:
+        return df.withColumns(casts) if casts else df
+    # A filter over many casts, moved below them, would make the optimizer derive a constraint for
+    # every subset of the cast columns. Filters are not moved below a generator.
+    row = F.struct(*[casts.get(name, col(name)).alias(name) for name in df.columns])
+    return df.select(F.inline(F.array(row)))
 
 
 def completeness_limit(n_columns: int, max_fraction: float = 0.5) -> int:

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml import Transformer
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskpipe.functions.columns import col, quoted
+from riskpipe.functions.columns import col, literal, quoted
 from riskpipe.functions.risk import missing_fields, risk_band, risk_from_label
+from riskpipe.operators.features import RAW
 from riskpipe.operators.training import RiskModel
 from riskpipe.spec import RECORD_KEYS, DatasetSpec
 
@@ -84,14 +85,10 @@ def _bound(stage: Transformer, prefix: str) -> Transformer:
         if stage.hasParam(f"{param.name}s") and stage.isDefined(stage.getParam(f"{param.name}s")):
             continue  # the default of the one-column form, not in use
         value = stage.getOrDefault(param)
-        renamed[param] = (
-            [prefix + name for name in value]
-            if isinstance(value, list)
-            else (prefix + value if value else value)
-        )
-    if isinstance(stage, VectorAssembler):
-        # Records that cannot be scored keep their row; their result is replaced by the error.
-        renamed[stage.handleInvalid] = "keep"
+        if isinstance(value, list):
+            renamed[param] = [prefix + name for name in value]
+        elif value:
+            renamed[param] = prefix + value
     return stage.copy(renamed)
 
 
@@ -104,27 +101,46 @@ def _is_target_indexer(stage: Transformer, spec: DatasetSpec) -> bool:
 def _score_wide(
     records: DataFrame, models: Mapping[str, RiskModel], keep: Sequence[str], missing: str
 ) -> tuple[DataFrame, dict[str, Column]]:
-    """The records with every model's output beside them, and a result struct per dataset."""
+    """The records with every model's output beside them, and a result struct per dataset.
+
+    A dataset's numbers travel as one array column.  With a column each, a filter on a result
+    would make the optimizer derive constraints for every subset of the renamed columns.
+    """
     prefixes = {name: f"m{i}__" for i, name in enumerate(models)}
-    wide = [col(name) for name in keep]
+    wide = [quoted(name) for name in keep]
     for name, model in models.items():
-        prefix = prefixes[name]
         inputs = record_inputs(records, model.spec, missing)
+        numbers = ", ".join(f"coalesce({inputs[n]}, double('NaN'))" for n in model.spec.numeric)
+        wide.append(f"CAST(array({numbers}) AS ARRAY<DOUBLE>) AS {prefixes[name]}numbers")
         wide += [
-            F.expr(f"{cell} AS {quoted(prefix + column)}") for column, cell in inputs.items()
+            f"{inputs[n]} AS {quoted(prefixes[name] + n)}" for n in model.spec.categorical
         ]
-        wide.append(_error(model.spec, inputs).alias(f"{prefix}error"))
-
-    stages = [
-        _bound(fitted, prefixes[name])
-        for name, model in models.items()
-        for fitted in model.pipeline.stages
-        if not _is_target_indexer(fitted, model.spec)
-    ]
-    scored = PipelineModel(stages=stages).transform(records.select(*wide))
+    scored = records.selectExpr(*wide)
+
+    for name, model in models.items():
+        prefix = prefixes[name]
+        stages = [s for s in model.pipeline.stages if not _is_target_indexer(s, model.spec)]
+        before = [s for s in stages if isinstance(s, StringIndexerModel)]
+        after = [s for s in stages if not isinstance(s, (StringIndexerModel, VectorAssembler))]
+        for fitted in before:
+            scored = _bound(fitted, prefix).transform(scored)
+        indices = F.array(*[col(prefix + n) for n in model.spec.indexed]).cast("array<double>")
+        features = array_to_vector(F.concat(F.col(f"{prefix}numbers"), indices))
+        scored = scored.withColumns(
+            {prefix + RAW: features, f"{prefix}error": _array_error(model.spec, prefix)}
+        )
+        for fitted in after:
+            scored = _bound(fitted, prefix).transform(scored)
     return scored, {name: _result(name, models[name], prefixes[name]) for name in models}
 
 
+def _array_error(spec: DatasetSpec, prefix: str) -> Column:
+    """``missing_fields`` over the array of a dataset's numbers."""
+    names = ", ".join(literal(spec.record_field(n)) for n in spec.numeric)
+    lacking = f"transform({prefix}numbers, (x, i) -> IF(isnan(x), array({names})[i], NULL))"
+    return F.expr(f"'missing: ' || nullif(array_join({lacking}, ', '), '')")
+
+
 def _result(name: str, model: RiskModel, prefix: str) -> Column:
     error = col(f"{prefix}error")
     classes = vector_to_array(col(prefix + model.forest.getProbabilityCol()))
