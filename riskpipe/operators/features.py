@@ -105,12 +105,14 @@ def fit_features(df: DataFrame, spec: DatasetSpec) -> PipelineModel:
     return Pipeline(stages=[*target, *feature_stages(spec)]).fit(df)
 
 
-def featurize(df: DataFrame, spec: DatasetSpec, model: PipelineModel) -> DataFrame:
-    """``(label, features)`` of the rows that have a target and all features."""
+def featurize(
+    df: DataFrame, spec: DatasetSpec, model: PipelineModel, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(label, features)`` of the rows that have a target and all features, and ``keep``."""
     df = to_double(df, spec.numeric).filter(has_target(df, spec))
     if not has_text_target(df, spec):
         df = df.withColumn(LABEL, as_double(spec.target))
-    return model.transform(df).select(LABEL, FEATURES)
+    return model.transform(df).select(LABEL, FEATURES, *[col(name) for name in keep])
 
 
 def target_labels(model: PipelineModel) -> list[str] | None:

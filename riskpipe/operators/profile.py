@@ -46,28 +46,21 @@ def modes(df: DataFrame, cols: Sequence[str], ignore: Sequence[str] = ("N/A",))
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(column_name, n_distinct)``, null counting as one value. Exact."""
-    counted = df.agg(
-        *[
-            (
-                F.count_distinct(col(name)) + F.max(F.when(col(name).isNull(), 1).otherwise(0))
-            ).alias(f"n{i}")
-            for i, name in enumerate(cols)
-        ]
-    )
-    return counted.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("column_name"),
-                        F.coalesce(F.col(f"n{i}"), F.lit(0)).alias("n_distinct"),
-                    )
-                    for i, name in enumerate(cols)
-                ]
-            )
+    """``(column_name, n_distinct)``, null counting as one value. Exact.
+
+    One branch per column, each reading and shuffling that column alone: less than a single
+    aggregate over all of them, which would carry every column in the key of every row.
+    """
+    counts = None
+    for name in cols:
+        one = (
+            df.select(col(name).alias("value"))
+            .distinct()
+            .agg(F.count("*").alias("n_distinct"))
+            .select(F.lit(name).alias("column_name"), "n_distinct")
         )
-    )
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
 
 
 def continuous_columns(df: DataFrame, cols: Sequence[str], more_than: int = 10) -> list[str]:

@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from riskpipe.functions.columns import as_double
 
-FEW_VALUES = 500_000  # distinct values that one task may accumulate
+FEW_VALUES = 100_000  # distinct values that one task may accumulate
 SKETCH_K = 400  # KLL size: rank error below 1 % of the rows sketched
 MARGIN = 0.01  # how far around the wanted rank the two proposed values are taken
 MERGERS = 256  # tasks that merge sketches before the last merge
@@ -137,25 +137,27 @@ def _narrow(
     searches: dict[tuple[str, float], tuple[_Span, int]],
     sizes: dict[_Span, tuple[int, int]],
 ) -> dict[tuple[str, float], float]:
-    """Shrink every search in place; return the ones that hit their value."""
+    """Shrink every search in place, noting the sizes met; return the ones that hit their value."""
     keys = list(searches)
 
     # Propose: sketches merge in two steps, so that no task receives one from every task.
+    spans = list(dict.fromkeys(span for span, _ in searches.values()))
     sketched = df.groupBy((F.spark_partition_id() % MERGERS).alias("part")).agg(
         *[
-            F.kll_sketch_agg_double(searches[key][0].values(), SKETCH_K).alias(f"s{i}")
-            for i, key in enumerate(keys)
+            F.kll_sketch_agg_double(span.values(), SKETCH_K).alias(f"s{i}")
+            for i, span in enumerate(spans)
         ]
     )
     merged = sketched.agg(
-        *[F.kll_merge_agg_double(f"s{i}", SKETCH_K).alias(f"s{i}") for i in range(len(keys))]
+        *[F.kll_merge_agg_double(f"s{i}", SKETCH_K).alias(f"s{i}") for i in range(len(spans))]
     )
     proposals = []
     for i, key in enumerate(keys):
         span, rank = searches[key]
         at = rank / sizes[span][0]
         pair = F.array(F.lit(max(0.0, at - MARGIN)), F.lit(min(1.0, at + MARGIN)))
-        proposals.append(F.kll_sketch_get_quantile_double(f"s{i}", pair).alias(f"q{i}"))
+        sketch = f"s{spans.index(span)}"
+        proposals.append(F.kll_sketch_get_quantile_double(sketch, pair).alias(f"q{i}"))
     proposed = merged.select(*proposals).first()
 
     # Count exactly: rows below, at and between the two proposed values.
@@ -170,16 +172,20 @@ def _narrow(
             ("at_high", (values == high) & F.lit(high > low)),
         ):
             wanted.append(F.count_if(test).alias(f"{name}{i}"))
+        middle = _Span(searches[key][0].column, low, high)
+        wanted.append(F.approx_count_distinct(middle.values()).alias(f"values{i}"))
     counted = df.agg(*wanted).first()
 
     hits = {}
     for i, key in enumerate(keys):
         span, rank = searches[key]
         low, high = proposed[f"q{i}"]
+        middle = _Span(span.column, low, high)
+        sizes[middle] = (counted[f"between{i}"], counted[f"values{i}"])
         parts = (
             (counted[f"below{i}"], _Span(span.column, span.low, low)),
             (counted[f"at_low{i}"], low),
-            (counted[f"between{i}"], _Span(span.column, low, high)),
+            (counted[f"between{i}"], middle),
             (counted[f"at_high{i}"], high),
             (sizes[span][0], _Span(span.column, high, span.high)),
         )
@@ -198,38 +204,33 @@ def _narrow(
 def _accumulate(
     df: DataFrame, searches: dict[tuple[str, float], tuple[_Span, int]]
 ) -> dict[tuple[str, float], float]:
-    """Read ranks off the ordered value frequencies of spans with few distinct values."""
-    if not searches:
-        return {}
-    spans = list(dict.fromkeys(span for span, _ in searches.values()))
-    ranks = [
-        F.array(*[F.lit(rank).cast("long") for span, rank in searches.values() if span == s])
-        for s in spans
-    ]
-    cells = F.array_compact(
-        F.array(
-            *[
-                F.when(s.inside(), F.struct(F.lit(i).alias("span"), F.col(s.column).alias("value")))
-                for i, s in enumerate(spans)
-            ]
+    """Read ranks off the ordered value frequencies of spans with few distinct values.
+
+    Every span is counted by a branch of its own, which reads just the span's column.
+    """
+    wanted: dict[_Span, list[int]] = {}
+    for span, rank in searches.values():
+        wanted.setdefault(span, []).append(rank)
+    spans = list(wanted)
+    hits = None
+    for i, span in enumerate(spans):
+        ranks = F.array(*[F.lit(rank).cast("long") for rank in wanted[span]])
+        counted = (
+            df.filter(span.inside())
+            .groupBy(F.col(span.column).alias("value"))
+            .agg(F.count("*").alias("n"))
+            .select(F.lit(i).alias("span"), "value", "n", ranks.alias("ranks"))
         )
-    )
+        hits = counted if hits is None else hits.unionByName(counted)
+    if hits is None:
+        return {}
     upto = Window.partitionBy("span").orderBy("value")
-    hit_rows = (
-        df.select(F.explode(cells).alias("cell"))
-        .groupBy("cell.span", "cell.value")
-        .count()
-        .withColumn("last", F.sum("count").over(upto))
-        .withColumn("wanted", F.element_at(F.array(*ranks), F.col("span") + 1))
-        .withColumn(
-            "ranks",
-            F.filter(
-                "wanted", lambda r: (r <= F.col("last")) & (r > F.col("last") - F.col("count"))
-            ),
-        )
+    rows = (
+        hits.withColumn("last", F.sum("n").over(upto))
+        .withColumn("ranks", F.expr("filter(ranks, r -> r <= last AND r > last - n)"))
         .filter(F.size("ranks") > 0)
         .select("span", "value", "ranks")
         .collect()
     )
-    at = {(spans[row["span"]], rank): row["value"] for row in hit_rows for rank in row["ranks"]}
+    at = {(spans[row["span"]], rank): row["value"] for row in rows for rank in row["ranks"]}
     return {key: at[where] for key, where in searches.items()}

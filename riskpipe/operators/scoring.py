@@ -131,6 +131,8 @@ def _score_wide(
         )
         for fitted in after:
             scored = _bound(fitted, prefix).transform(scored)
+        classes = vector_to_array(col(prefix + model.forest.getProbabilityCol()))
+        scored = scored.withColumn(f"{prefix}classes", classes)
     return scored, {name: _result(name, models[name], prefixes[name]) for name in models}
 
 
@@ -143,7 +145,7 @@ def _array_error(spec: DatasetSpec, prefix: str) -> Column:
 
 def _result(name: str, model: RiskModel, prefix: str) -> Column:
     error = col(f"{prefix}error")
-    classes = vector_to_array(col(prefix + model.forest.getProbabilityCol()))
+    classes = F.col(f"{prefix}classes")
     labels = model.labels
     if labels is None:
         risk = risk_band(F.get(classes, F.lit(1)))

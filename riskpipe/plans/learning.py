@@ -8,18 +8,21 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskpipe.operators.features import FEATURES, LABEL, featurize, fit_features, has_target
 from riskpipe.operators.metrics import classification_metrics, confusion
 from riskpipe.operators.quality import to_double
-from riskpipe.operators.training import RiskModel, forest, save_model, split
-from riskpipe.sources.staging import stage
+from riskpipe.operators.training import RiskModel, forest, save_model, split, train_flag
+from riskpipe.sources.staging import spread, stage
 from riskpipe.sources.tables import read_table, write_report, write_table
 from riskpipe.spec import DatasetSpec
 
 log = logging.getLogger(__name__)
 
+IS_TRAIN = "is_train"
 METRICS = ("accuracy", "precision", "recall", "f1_score")
 
 
@@ -63,15 +66,27 @@ def train(
     if fit_on not in ("all", "train") or split_by not in ("hash", "random"):
         raise ValueError("fit_on is 'all' or 'train', split_by is 'hash' or 'random'")
     df = to_double(df.select(*[f"`{name}`" for name in spec.columns]), spec.numeric)
-    key = spec.columns if split_by == "hash" else None
-    parts = split(df, key, train_share, seed)
-    fitted = fit_features(df if fit_on == "all" else parts[0], spec)
-
-    # The forest passes over its rows once per level: it gets narrow tables without lineage.
-    train_rows, test_rows = (stage(featurize(part, spec, fitted)) for part in parts)
-    grown = (classifier or forest()).fit(train_rows)
+    if split_by == "hash":
+        marked = df.withColumn(IS_TRAIN, train_flag(spec.columns, train_share, seed))
+    else:
+        parts = split(df, None, train_share, seed)
+        marked = parts[0].withColumn(IS_TRAIN, F.lit(True)).unionByName(
+            parts[1].withColumn(IS_TRAIN, F.lit(False))
+        )
+    if fit_on == "train":
+        marked = stage(marked)
+        fitted = fit_features(marked.filter(IS_TRAIN), spec)
+    else:
+        fitted = fit_features(marked, spec)
+
+    # One pass makes the features of both parts.  The forest passes over its rows once per level:
+    # it gets a narrow table without lineage, and a small one, which may sit in a single file, is
+    # spread over all cores.
+    features = stage(featurize(marked, spec, fitted, keep=[IS_TRAIN]))
+    train_rows, test_rows = (features.filter(F.col(IS_TRAIN) == part) for part in (True, False))
+    grown = (classifier or forest()).fit(spread(train_rows))
     model = RiskModel(spec, PipelineModel(stages=[*fitted.stages, grown]))
-    predictions = model.predict(test_rows)
+    predictions = model.predict(test_rows.drop(IS_TRAIN))
     scored = classification_metrics(confusion(predictions, LABEL)).first()
     lost = df.filter(~has_target(df, spec)).count()
     if lost:
@@ -119,8 +134,6 @@ def train_all(
 
 def feature_columns(features: DataFrame, spec: DatasetSpec) -> DataFrame:
     """A feature table with one plain column per feature, for reading by other tools."""
-    from pyspark.ml.functions import vector_to_array
-
     values = vector_to_array(features[FEATURES])
     return features.select(
         LABEL, *[values[i].alias(name) for i, name in enumerate(spec.features)]

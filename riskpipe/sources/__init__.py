@@ -1,6 +1,6 @@
 """Readers, writers and the synthetic record source."""
 
-from riskpipe.sources.staging import stage, staging_dir
+from riskpipe.sources.staging import spread, stage, staging_dir
 from riskpipe.sources.synthetic import synthesize_patients
 from riskpipe.sources.tables import (
     csv_schema,
@@ -16,6 +16,7 @@ __all__ = [
     "read_raw",
     "read_stream",
     "read_table",
+    "spread",
     "stage",
     "staging_dir",
     "synthesize_patients",

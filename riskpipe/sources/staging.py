@@ -35,3 +35,12 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{staging_dir(spark)}/table"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on a scanned table that comes in fewer splits than that.
+
+    For scans only: asking a frame for its partitions runs the shuffles it contains.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -18,21 +18,24 @@ SECONDS_APART = 5
 SLOTS = 6_307_200  # five-second steps in a 365-day year; later ids start the year again
 
 
-def _draw(field: str, key: str, seed: int, low: int, high: int) -> str:
+DRAWS = "draws"
+DRAWN_FIELDS = ("first", "last", "number", *[f.name for f in RECORD_FIELDS])
+
+
+def _draw(field: str, low: int, high: int) -> str:
     """SQL for a whole number in ``low..high``."""
-    digest = f"substr(md5(concat('{seed}:{field}:', {key})), 1, 8)"
-    return f"({low} + CAST(conv({digest}, 16, 10) AS BIGINT) % {high - low + 1})"
+    return f"({low} + {DRAWS}[{DRAWN_FIELDS.index(field)}] % {high - low + 1})"
 
 
-def _pick(field: str, key: str, seed: int, choices: tuple[str, ...]) -> str:
+def _pick(field: str, choices: tuple[str, ...]) -> str:
     listed = ", ".join(f"'{c}'" for c in choices)
-    return f"element_at(array({listed}), CAST({_draw(field, key, seed, 1, len(choices))} AS INT))"
+    return f"element_at(array({listed}), CAST({_draw(field, 1, len(choices))} AS INT))"
 
 
-def _value(field: RecordField, key: str, seed: int) -> str:
+def _value(field: RecordField) -> str:
     if field.choices:
-        return _pick(field.name, key, seed, field.choices)
-    drawn = f"CAST({_draw(field.name, key, seed, field.low, field.high)} AS DOUBLE)"
+        return _pick(field.name, field.choices)
+    drawn = f"CAST({_draw(field.name, field.low, field.high)} AS DOUBLE)"
     return f"{drawn} / {field.scale}" if field.scale > 1 else drawn
 
 
@@ -48,13 +51,15 @@ def synthesize_patients(
     """
     ids = source.range(n) if isinstance(source, SparkSession) else source
     number = quoted(id_column)
-    key = f"CAST({number} AS STRING)"
-    first, last = _pick("first", key, seed, FIRST_NAMES), _pick("last", key, seed, LAST_NAMES)
-    digits = _draw("number", key, seed, 1000, 9999)
+    # All hashes in one array: written out per field they make a method too long to be compiled.
+    names = ", ".join(f"'{seed}:{name}:'" for name in DRAWN_FIELDS)
+    digest = f"substr(md5(concat(f, CAST({number} AS STRING))), 1, 8)"
+    hashes = f"transform(array({names}), f -> CAST(conv({digest}, 16, 10) AS BIGINT))"
+    first, last = _pick("first", FIRST_NAMES), _pick("last", LAST_NAMES)
     # A timestamp without zone, so the text does not move with the session's zone.
     seconds = f"CAST({number} % {SLOTS} * {SECONDS_APART} AS INT)"
-    return ids.selectExpr(
-        f"concat_ws('-', 'PAT', {first}, {last}, {digits}) AS patient_id",
+    return ids.selectExpr(quoted(id_column), f"{hashes} AS {DRAWS}").selectExpr(
+        f"concat_ws('-', 'PAT', {first}, {last}, {_draw('number', 1000, 9999)}) AS patient_id",
         f"CAST(timestampadd(SECOND, {seconds}, TIMESTAMP_NTZ'{START}') AS STRING) AS timestamp",
-        *[f"{_value(f, key, seed)} AS {quoted(f.name)}" for f in RECORD_FIELDS],
+        *[f"{_value(f)} AS {quoted(f.name)}" for f in RECORD_FIELDS],
     )

@@ -50,6 +50,7 @@ from riskpipe.sources import (
     read_raw,
     read_stream,
     read_table,
+    spread,
     stage,
     staging_dir,
     synthesize_patients,
@@ -301,7 +302,8 @@ def json_stream_source(spark, sf_dir):
 
 @query
 def synthetic_patients(spark, sf_dir):
-    return synthesize_patients(table(spark, sf_dir, "orders"), id_column="o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    return synthesize_patients(spread(orders), id_column="o_orderkey")
 
 
 # --- features ------------------------------------------------------------------------------------
