@@ -1,4 +1,4 @@
-"""The four jobs as commands, for ``spark-submit`` or ``python -m riskpipe``.
+"""The jobs as commands, for ``spark-submit`` or ``python -m riskpipe``.
 
     clean      raw CSV tables          -> clean tables, quality report
     features   clean tables            -> feature tables
@@ -20,8 +20,12 @@ from riskpipe.streaming import load_models, start_scoring
 
 
 def parser() -> argparse.ArgumentParser:
-    top = argparse.ArgumentParser(prog="riskpipe", description=__doc__)
-    top.add_argument("--datasets", nargs="*", choices=list(SPECS), default=list(SPECS))
+    top = argparse.ArgumentParser(
+        prog="riskpipe",
+        description=__doc__,
+        formatter_class=argparse.RawDescriptionHelpFormatter,
+    )
+    top.add_argument("--datasets", default=",".join(SPECS), help="names, separated by commas")
     jobs = top.add_subparsers(dest="job", required=True)
 
     job = jobs.add_parser("clean")
@@ -61,7 +65,7 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"riskpipe-{args.job}").getOrCreate()
-    specs = {name: SPECS[name] for name in args.datasets}
+    specs = {name: SPECS[name] for name in args.datasets.split(",")}
     if args.job == "clean":
         raw = dict(pair.split("=", 1) for pair in args.raw)
         clean_all(spark, SPECS, raw, args.clean, args.report, args.error).show(truncate=False)

@@ -17,6 +17,9 @@ from riskpipe.spec import DatasetSpec
 
 MAX_LABELS = 1_000_000  # dictionary entries a fitted indexer may carry to every task
 
+FREQUENT = 1_000  # most frequent values whose indices are broadcast
+SALTS = 10_000
+
 LABEL, RAW, FEATURES = "label", "features_raw", "features"
 
 
@@ -123,17 +126,36 @@ def target_labels(model: PipelineModel) -> list[str] | None:
     return None
 
 
-def index_by_join(df: DataFrame, name: str) -> DataFrame:
+def index_by_join(df: DataFrame, name: str, frequent: int = FREQUENT) -> DataFrame:
     """Add ``<name>_idx`` by joining the dictionary, for columns too wide for an indexer.
 
-    The same indices as ``category_indexer``: null takes the index after the last.  The join side
-    is whatever size the data gives; Spark chooses the strategy, and a hot value is split by
-    adaptive execution.
+    The same indices as ``category_indexer``: null takes the index after the last.  Indices are
+    ordered by frequency, so the ``frequent`` first ones hold every hot value: they are broadcast.
+    Only the remaining rows, none of whose values is frequent, take part in a shuffled join; the
+    settled ones are spread over it by salts that match nothing.
     """
+    index = f"{name}_idx"
     known = label_dictionary(df, [name])
+    size = known.count()
     known = known.select(
-        F.col("value").alias("__value"), F.col("label_index").cast("double").alias(f"{name}_idx")
+        F.col("value").alias("__value"), F.col("label_index").cast("double").alias("__index")
+    )
+    value = col(name).cast("string")
+    first = F.broadcast(known.filter(F.col("__index") < frequent))
+    joined = df.join(first, value == F.col("__value"), "left").drop("__value")
+    if size <= frequent:
+        return joined.withColumn(
+            index, F.coalesce(F.col("__index"), F.lit(float(size)))
+        ).drop("__index")
+    salt = F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(SALTS)) + 1
+    open_row = F.col("__index").isNull() & col(name).isNotNull()
+    joined = joined.withColumn("__salt", F.when(open_row, F.lit(0).cast("long")).otherwise(salt))
+    rest = known.filter(F.col("__index") >= frequent).select(
+        F.col("__value"), F.lit(0).cast("long").alias("__no_salt"), F.col("__index").alias("__late")
+    )
+    found = joined.join(
+        rest, (value == F.col("__value")) & (F.col("__salt") == F.col("__no_salt")), "left"
     )
-    size = float(known.count())
-    joined = df.join(known, col(name).cast("string") == F.col("__value"), "left").drop("__value")
-    return joined.withColumn(f"{name}_idx", F.coalesce(col(f"{name}_idx"), F.lit(size)))
+    return found.withColumn(
+        index, F.coalesce(F.col("__index"), F.col("__late"), F.lit(float(size)))
+    ).drop("__index", "__late", "__value", "__salt", "__no_salt")

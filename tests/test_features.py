@@ -79,13 +79,18 @@ def test_numeric_target_is_cast(spark):
     assert [r["label"] for r in with_label(df, DatasetSpec("t", "y")).collect()] == [1.0, 0.0]
 
 
-def test_join_index_equals_indexer(spark):
-    df = toy(spark)
-    by_join = index_by_join(df, "c d").groupBy("`c d`", "`c d_idx`").count().collect()
-    by_model = (
-        category_indexer(["c d"]).fit(df).transform(df).groupBy("`c d`", "`c d_idx`").count()
+@pytest.mark.parametrize("frequent", [1000, 3, 0])
+def test_join_index_equals_indexer(spark, frequent):
+    """Also with a hot value, nulls, and values on both sides of the broadcast limit."""
+    df = spark.range(600).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE 'v' || id % 40 END AS `c d`"
+    )
+    by_join = index_by_join(df, "c d", frequent)
+    assert by_join.columns == ["id", "c d", "c d_idx"]
+    by_model = category_indexer(["c d"]).fit(df).transform(df)
+    assert sorted(map(tuple, by_join.collect()), key=lambda r: r[0]) == sorted(
+        map(tuple, by_model.collect()), key=lambda r: r[0]
     )
-    assert sorted(map(str, by_join)) == sorted(map(str, by_model.collect()))
 
 
 def test_dictionary_equals_indexer_labels(spark):

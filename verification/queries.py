@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -428,18 +427,18 @@ def _rounded_metrics(metrics: DataFrame) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=None)
-def _trained(application: str, sf_dir: str) -> dict[str, TrainResult]:
-    spark = SparkSession.getActiveSession()
-    records = stage(patients(spark, sf_dir))
-    return {
-        name: train(stage(training_rows(records, name)), spec) for name, spec in SPECS.items()
-    }
+_TRAINED: dict[tuple[str, str], dict[str, TrainResult]] = {}
 
 
 def trained(spark: SparkSession, sf_dir: str) -> dict[str, TrainResult]:
     """The four models, trained once per application and scale."""
-    return _trained(spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        records = stage(patients(spark, sf_dir))
+        _TRAINED[key] = {
+            name: train(training_rows(records, name), spec) for name, spec in SPECS.items()
+        }
+    return _TRAINED[key]
 
 
 def _models(spark: SparkSession, sf_dir: str) -> dict[str, RiskModel]:
