@@ -51,7 +51,9 @@ def quantiles(
     if error > 0:
         found = numbers.approxQuantile(numbers.columns, list(probs), error)
         return dict(zip(cols, found))
-    found = _exact(numbers, list(probs), few_values)
+    nothing = F.lit(None).cast("double")
+    known = numbers.select([F.nanvl(c, nothing).alias(c) for c in numbers.columns])
+    found = _exact(known, list(probs), few_values)
     return {name: found.get(f"c{i}", []) for i, name in enumerate(cols)}
 
 
@@ -78,7 +80,7 @@ class _Span:
 
     def inside(self) -> Column:
         cell = F.col(self.column)
-        test = cell.isNotNull() & ~F.isnan(cell)
+        test = cell.isNotNull()
         if self.low is not None:
             test &= cell > self.low
         if self.high is not None:
@@ -86,33 +88,41 @@ class _Span:
         return test
 
     def values(self) -> Column:
-        return F.when(self.inside(), F.col(self.column))
+        cell = F.col(self.column)
+        return cell if self.low is None and self.high is None else F.when(self.inside(), cell)
 
 
-def _exact(df: DataFrame, probs: list[float], few_values: int) -> dict[str, list[float]]:
-    whole = {name: _Span(name) for name in df.columns}
-    sizes = _measure(df, list(whole.values()))
+@dataclass
+class _Search:
+    """Where the value of a rank lies: ranks count all of the column's values, from 1."""
+
+    rank: int
+    span: _Span
+    before: int  # values below the span
+    rows: int  # values in the span
+
 
+def _exact(df: DataFrame, probs: list[float], few_values: int) -> dict[str, list[float]]:
+    counted = df.agg(*[F.count(name).alias(name) for name in df.columns]).first()
     answers: dict[tuple[str, float], float] = {}
-    searches: dict[tuple[str, float], tuple[_Span, int]] = {}  # where, and which rank there
-    for name, span in whole.items():
-        rows = sizes[span][0]
+    searches: dict[tuple[str, float], _Search] = {}
+    for name in df.columns:
         for prob in probs:
-            if rows:
-                rank = math.ceil(Decimal(repr(float(prob))) * rows)
-                searches[name, prob] = (span, max(1, rank))
+            if counted[name]:
+                rank = math.ceil(Decimal(repr(float(prob))) * counted[name])
+                searches[name, prob] = _Search(max(1, rank), _Span(name), 0, counted[name])
 
-    small: dict[tuple[str, float], tuple[_Span, int]] = {}
+    few: dict[tuple[str, float], _Search] = {}
     while searches:
-        for key, (span, rank) in list(searches.items()):
-            if sizes[span][1] <= few_values:
-                small[key] = (span, rank)
-                del searches[key]
+        # Many rows may still be few values.
+        large = {s.span for s in searches.values() if s.rows > few_values}
+        values = _distinct(df, list(large))
+        for key, search in list(searches.items()):
+            if values.get(search.span, 0) <= few_values:
+                few[key] = searches.pop(key)
         if searches:
-            answers |= _narrow(df, searches, sizes)
-            fresh = {span for span, _ in searches.values()} - sizes.keys()
-            sizes |= _measure(df, list(fresh))
-    answers |= _accumulate(df, small)
+            answers |= _narrow(df, searches)
+    answers |= _accumulate(df, few)
     return {
         name: [answers[name, prob] for prob in probs]
         for name in df.columns
@@ -120,28 +130,20 @@ def _exact(df: DataFrame, probs: list[float], few_values: int) -> dict[str, list
     }
 
 
-def _measure(df: DataFrame, spans: list[_Span]) -> dict[_Span, tuple[int, int]]:
-    """Rows and (estimated) distinct values of each span, in one pass."""
+def _distinct(df: DataFrame, spans: list[_Span]) -> dict[_Span, int]:
+    """Estimated distinct values of each span, in one pass."""
     if not spans:
         return {}
-    wanted = []
-    for i, span in enumerate(spans):
-        wanted.append(F.count(span.values()).alias(f"rows{i}"))
-        wanted.append(F.approx_count_distinct(span.values()).alias(f"values{i}"))
-    row = df.agg(*wanted).first()
-    return {span: (row[f"rows{i}"], row[f"values{i}"]) for i, span in enumerate(spans)}
+    wanted = [F.approx_count_distinct(s.values()).alias(f"n{i}") for i, s in enumerate(spans)]
+    return dict(zip(spans, df.agg(*wanted).first()))
 
 
 def _narrow(
-    df: DataFrame,
-    searches: dict[tuple[str, float], tuple[_Span, int]],
-    sizes: dict[_Span, tuple[int, int]],
+    df: DataFrame, searches: dict[tuple[str, float], _Search]
 ) -> dict[tuple[str, float], float]:
-    """Shrink every search in place, noting the sizes met; return the ones that hit their value."""
-    keys = list(searches)
-
+    """Shrink every search in place; take out and return the ones that hit their value."""
     # Propose: sketches merge in two steps, so that no task receives one from every task.
-    spans = list(dict.fromkeys(span for span, _ in searches.values()))
+    spans = list({search.span for search in searches.values()})
     sketched = df.groupBy((F.spark_partition_id() % MERGERS).alias("part")).agg(
         *[
             F.kll_sketch_agg_double(span.values(), SKETCH_K).alias(f"s{i}")
@@ -152,65 +154,54 @@ def _narrow(
         *[F.kll_merge_agg_double(f"s{i}", SKETCH_K).alias(f"s{i}") for i in range(len(spans))]
     )
     proposals = []
-    for i, key in enumerate(keys):
-        span, rank = searches[key]
-        at = rank / sizes[span][0]
+    for search in searches.values():
+        at = (search.rank - search.before) / search.rows
         pair = F.array(F.lit(max(0.0, at - MARGIN)), F.lit(min(1.0, at + MARGIN)))
-        sketch = f"s{spans.index(span)}"
-        proposals.append(F.kll_sketch_get_quantile_double(sketch, pair).alias(f"q{i}"))
-    proposed = merged.select(*proposals).first()
+        sketch = f"s{spans.index(search.span)}"
+        proposals.append(F.kll_sketch_get_quantile_double(sketch, pair))
+    limits = merged.select(*[p.alias(f"q{i}") for i, p in enumerate(proposals)]).first()
 
-    # Count exactly: rows below, at and between the two proposed values.
+    # Count exactly: values below and up to either proposed value.
     wanted = []
-    for i, key in enumerate(keys):
-        values = searches[key][0].values()
-        low, high = proposed[f"q{i}"]
-        for name, test in (
-            ("below", values < low),
-            ("at_low", values == low),
-            ("between", (values > low) & (values < high)),
-            ("at_high", (values == high) & F.lit(high > low)),
-        ):
-            wanted.append(F.count_if(test).alias(f"{name}{i}"))
-        middle = _Span(searches[key][0].column, low, high)
-        wanted.append(F.approx_count_distinct(middle.values()).alias(f"values{i}"))
-    counted = df.agg(*wanted).first()
+    for search, (low, high) in zip(searches.values(), limits):
+        cell = F.col(search.span.column)
+        for test in (cell < low, cell <= low, cell < high, cell <= high):
+            wanted.append(F.count_if(test).alias(f"n{len(wanted)}"))
+    counts = df.agg(*wanted).first()
 
     hits = {}
-    for i, key in enumerate(keys):
-        span, rank = searches[key]
-        low, high = proposed[f"q{i}"]
-        middle = _Span(span.column, low, high)
-        sizes[middle] = (counted[f"between{i}"], counted[f"values{i}"])
-        parts = (
-            (counted[f"below{i}"], _Span(span.column, span.low, low)),
-            (counted[f"at_low{i}"], low),
-            (counted[f"between{i}"], middle),
-            (counted[f"at_high{i}"], high),
-            (sizes[span][0], _Span(span.column, high, span.high)),
-        )
-        for rows, part in parts:
-            if rank <= rows:
-                break
-            rank -= rows
-        if isinstance(part, _Span):
-            searches[key] = (part, rank)
-        else:
-            hits[key] = part
+    for i, (key, search) in enumerate(list(searches.items())):
+        low, high = limits[i]
+        below_low, upto_low, below_high, upto_high = counts[4 * i : 4 * i + 4]
+        span, end = search.span, search.before + search.rows
+        if below_low < search.rank <= upto_low:
+            hits[key] = low
+            del searches[key]
+        elif below_high < search.rank <= upto_high:
+            hits[key] = high
             del searches[key]
+        elif search.rank <= below_low:
+            search.span = _Span(span.column, span.low, low)
+            search.rows = below_low - search.before
+        elif search.rank > upto_high:
+            search.span = _Span(span.column, high, span.high)
+            search.before, search.rows = upto_high, end - upto_high
+        else:
+            search.span = _Span(span.column, low, high)
+            search.before, search.rows = upto_low, below_high - upto_low
     return hits
 
 
 def _accumulate(
-    df: DataFrame, searches: dict[tuple[str, float], tuple[_Span, int]]
+    df: DataFrame, searches: dict[tuple[str, float], _Search]
 ) -> dict[tuple[str, float], float]:
     """Read ranks off the ordered value frequencies of spans with few distinct values.
 
     Every span is counted by a branch of its own, which reads just the span's column.
     """
     wanted: dict[_Span, list[int]] = {}
-    for span, rank in searches.values():
-        wanted.setdefault(span, []).append(rank)
+    for search in searches.values():
+        wanted.setdefault(search.span, []).append(search.rank - search.before)
     spans = list(wanted)
     hits = None
     for i, span in enumerate(spans):
@@ -233,4 +224,4 @@ def _accumulate(
         .collect()
     )
     at = {(spans[row["span"]], rank): row["value"] for row in rows for rank in row["ranks"]}
-    return {key: at[where] for key, where in searches.items()}
+    return {key: at[s.span, s.rank - s.before] for key, s in searches.items()}

@@ -124,3 +124,10 @@ def test_dictionary_orders_by_count_then_value(spark, window_rows):
         mine = sorted((r for r in got if r["column_name"] == name), key=lambda r: r["label_index"])
         assert [r["value"] for r in mine] == want
         assert [r["label_index"] for r in mine] == list(range(len(want)))
+
+
+def test_exact_quantiles_with_infinities(spark):
+    values = [float("-inf")] * 40 + [float(i) for i in range(100)] + [float("inf")] * 60
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = quantiles(df, ["v"], PROBS, error=0, few_values=10)["v"]
+    assert got == [order_statistic(values, p) for p in PROBS]
