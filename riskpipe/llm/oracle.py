@@ -2,4 +2,39 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+RULES_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT doc_id, text,
+    [x FOR x IN string_split_regex(text, '[\x20\x09-\x0D]+') IF x <> ''] AS ws,
+    [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM t
+), starts AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM split
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, list_slice(ws, i, i + 7)) AS n FROM starts
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n
+  FROM windows, unnest(range(0, 8)) AS u(k) WHERE n > 1 GROUP BY doc_id
+), measured AS (
+  SELECT doc_id,
+    CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words,
+    length(regexp_replace(text, '\P{Lu}+', '', 'g')) AS capitals,
+    len(ls) AS n_lines
+  FROM split LEFT JOIN covered USING (doc_id)
+), based AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+    OR 10 * capitals > 4 * word_chars
+    OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+FROM based
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": RULES_SQL}

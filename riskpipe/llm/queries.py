@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskpipe.llm import byte_bpe, packing, pii
+from riskpipe.llm import byte_bpe, packing, pii, quality_rules
 from riskpipe.llm.shared import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rule_report(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(packing.TOKENIZER)
     return packing.pack(table(spark, sf_dir, "documents"), path)
@@ -26,6 +30,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op10_pii": op10_pii,
