@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskpipe.llm import byte_bpe, packing, pii, quality_rules
+from riskpipe.llm import byte_bpe, fingerprints, packing, pii, quality_rules
 from riskpipe.llm.shared import table
 
 
@@ -25,6 +25,10 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), path)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
@@ -33,5 +37,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
 }
