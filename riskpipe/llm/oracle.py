@@ -37,4 +37,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM based
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": RULES_SQL}
+NEAR_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, [x FOR x IN string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+') IF x <> ''] AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 4), ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM split WHERE len(ws) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common.n >= 85 * (p.n + q.n - common.n)
+), sides AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT a AS doc_id, a AS seen FROM sides
+  UNION
+  SELECT reached.doc_id, sides.b FROM reached JOIN sides ON sides.a = reached.seen
+), least AS (
+  SELECT doc_id, min(seen) AS component FROM reached GROUP BY doc_id
+)
+SELECT split.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles,
+  coalesce(least.component, split.doc_id) AS component_id,
+  split.doc_id = coalesce(least.component, split.doc_id) AS kept
+FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_quality_rules": RULES_SQL,
+    "op7_near_dedup": NEAR_SQL,
+}

@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskpipe.llm import byte_bpe, fingerprints, packing, pii, quality_rules
+from riskpipe.llm import (
+    byte_bpe,
+    fingerprints,
+    near_dedup,
+    packing,
+    pii,
+    quality_rules,
+)
 from riskpipe.llm.shared import table
 
 
@@ -20,6 +27,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(byte_bpe.RANKS)
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), path)
@@ -36,6 +47,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op7_near_dedup": op7_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
