@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskpipe.llm import (
     byte_bpe,
     fingerprints,
+    html_text,
     line_dedup,
     near_dedup,
     packing,
@@ -28,6 +29,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.visible_text(table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op4_html_text": op4_html_text,
     "op6_line_dedup": op6_line_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
