@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import functools
 import math
+import os
+import re
 from bisect import bisect_left, insort
 from collections import defaultdict
 
@@ -40,37 +42,76 @@ THINNING = 8
 FIT_STEPS = 400
 #: Rows that one task ranks, at most a few times as many.
 CHUNK_ROWS = 50_000
-#: Words a Python worker remembers the ids of, and the longest of them in bytes.
+#: Words a Python worker remembers the ids of, twice (as they stand, and in lower case), and the
+#: longest of them.
 CACHED_WORDS = 400_000
-CACHED_BYTES = 48
+CACHED_CHARS = 40
 
 
 # ---------------------------------------------------------------- tokens
 
 
-@functools.cache
-def _tokenizer(path: str) -> tuple[Tokenizer, dict[bytes, bytes]]:
-    return Tokenizer.from_file(path), {}
+#: A word of letters whose lower case and normal form are plain, with a mark behind it or none.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,]?)")
+#: Byte-level models write a byte that is no visible character as one from 256 on, in turn.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [b for b in range(256) if b not in _VISIBLE]
+_SIGNS = {b: chr(b) if b in _VISIBLE else chr(256 + _HIDDEN.index(b)) for b in range(256)}
 
 
-def token_bytes(bodies: list[str], path: str) -> list[bytes]:
-    """Little-endian ids of each text, with the end id.
+class WordIds(dict):
+    """The ids of blank-separated words as bytes, encoded when first met and remembered for a while.
+
+    A plain word is one piece for the model and skips the library's general way to it, which takes
+    longer; a mark behind it is a piece of its own. All other words go through the library.
+    """
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.coder = Tokenizer.from_file(path)
+        self.model = self.coder.model
+        self.letters: dict[str, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        plain = _PLAIN.fullmatch(text) if len(text := word.decode()) <= CACHED_CHARS else None
+        if plain and plain[2]:
+            ids = self._letters(plain[1].lower()) + self[plain[2].encode()]
+        elif plain:
+            ids = self._letters(plain[1].lower())
+        else:
+            ids = _packed(self.coder.encode(text, add_special_tokens=False).ids)
+        if len(text) <= CACHED_CHARS:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+    def _letters(self, word: str) -> bytes:
+        ids = self.letters.get(word)
+        if ids is None:
+            signs = "".join([_SIGNS[b] for b in word.encode()])
+            ids = _packed([token.id for token in self.model.tokenize(signs)])
+            if len(self.letters) >= CACHED_WORDS:
+                self.letters.clear()
+            self.letters[word] = ids
+        return ids
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+_word_ids = functools.cache(WordIds)
+
+
+def token_bytes(text: str, path: str) -> bytes:
+    """Little-endian ids of a text, with the end id.
 
     The tokenizer drops white space and never joins across it (nor does its normalizer), so a text's
-    ids are those of its blank-separated words in turn. Words are encoded once and remembered.
+    ids are those of its blank-separated words in turn.
     """
-    coder, known = _tokenizer(path)
-    split = [body.encode().split() for body in bodies]
-    words = set().union(*split)
-    if len(known) + len(words) > CACHED_WORDS:
-        known.clear()
-    new = [w for w in words if w not in known]
-    coded = coder.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-    found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, coded, strict=True)}
-    known.update((w, ids) for w, ids in found.items() if len(w) <= CACHED_BYTES)
-    look = known | found if any(len(w) > CACHED_BYTES for w in new) else known
-    end = END_ID.to_bytes(4, "little")
-    return [b"".join([look[w] for w in row]) + end for row in split]
+    known = _word_ids(path)
+    return b"".join([known[w] for w in text.encode().split()]) + _packed([END_ID])
 
 
 def pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
@@ -80,7 +121,8 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame
     def rows(keys: list, bodies: list[str]) -> list[tuple]:
         return [
             (k, at // step, at // 4, ids[at : at + step])
-            for k, ids in zip(keys, token_bytes(bodies, tokenizer), strict=True)
+            for k, text in zip(keys, bodies, strict=True)
+            for ids in [token_bytes(text, tokenizer)]
             for at in range(0, len(ids), step)
         ]
 

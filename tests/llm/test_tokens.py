@@ -5,6 +5,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from riskpipe.llm import byte_bpe, packing
@@ -13,9 +15,11 @@ RANKS = public_tokenizers.path(byte_bpe.RANKS)
 WORDS = public_tokenizers.path(packing.TOKENIZER)
 
 
+LIBRARY = Tokenizer.from_file(WORDS)
+
+
 def word_ids(text):
-    coder = Tokenizer.from_file(WORDS)
-    return [*coder.encode(text or "", add_special_tokens=False).ids, 0]
+    return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 @pytest.mark.parametrize("which", ["documents", "edge_docs"])
@@ -68,6 +72,28 @@ def test_encode_then_decode(edge_docs, no_docs):
     assert byte_bpe.token_digests(no_docs, RANKS).count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.text("aAzZ09'.,!éÉßÿ÷×ªµÄ\u0301\u0130\u03a3|<>endoftext\u00a0\u4e2d\U0001f600", max_size=12),
+        max_size=8,
+    ).map(" ".join)
+)
+def test_word_ids_equal_the_library(text):
+    got = np.frombuffer(packing.token_bytes(text, WORDS), "<u4").tolist()
+    assert got == word_ids(text)
+
+
+def test_word_ids_survive_forgetting(monkeypatch, documents):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    known = packing.WordIds(WORDS)
+    monkeypatch.setattr(packing, "_word_ids", lambda path: known)
+    for r in documents.limit(20).collect():
+        got = np.frombuffer(packing.token_bytes(r["text"], WORDS), "<u4").tolist()
+        assert got == word_ids(r["text"])
+    assert len(known) <= 50
+
+
 @pytest.mark.parametrize("which", ["documents", "edge_docs"])
 def test_packing_places_every_id_once(request, which):
     docs = request.getfixturevalue(which)
