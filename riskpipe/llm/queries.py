@@ -15,6 +15,7 @@ from riskpipe.llm import (
     near_dedup,
     packing,
     pii,
+    pu_quality,
     quality_rules,
 )
 from riskpipe.llm.shared import table
@@ -33,6 +34,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.visible_text(table(spark, sf_dir, "pages"))
 
 
+def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
     "op4_html_text": op4_html_text,
+    "op5_pu_quality": op5_pu_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_near_dedup": op7_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
