@@ -156,10 +156,24 @@ def likeness(one: Column, other: Column) -> Column:
     )
 
 
+#: A document's key: its id, 0 if there is none, whether there is none, and a hash of the text. Plain
+#: columns, so that both uses of the texts' shuffle are one.
+KEY = ["id", "none", "tie"]
+PREVIOUS = ["prev_id", "prev_none", "prev_tie"]
+
+
+def _key(doc_id: Column, tie: Column) -> list[Column]:
+    return [
+        F.coalesce(doc_id, F.lit(0)).alias("id"),
+        doc_id.isNull().alias("none"),
+        tie.alias("tie"),
+    ]
+
+
 def neighbours(df: DataFrame) -> DataFrame:
-    """The ``key`` of each document, with ``prev_key, prev_chars`` of the one before.
+    """The ``KEY`` of each document, with ``prev_id, prev_none, prev_tie, prev_chars`` of the one before.
 
-    ``df`` has ``doc_id, tie, n_chars``; a key is the struct of the first two. Ids alone are dealt into ranges; a document looks for the
+    ``df`` has ``doc_id, tie, n_chars``. Ids alone are dealt into ranges; a document looks for the
     one before it inside its range, and a range's first in a table of one row per range.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -194,8 +208,8 @@ def neighbours(df: DataFrame) -> DataFrame:
     found = linked.join(F.broadcast(borders), "part")
     prev = F.when(F.col("at") == 1, F.col("border")).otherwise(F.col("before"))
     return found.select(
-        F.struct("doc_id", "tie").alias("key"),
-        F.struct(prev["doc_id"].alias("doc_id"), prev["tie"].alias("tie")).alias("prev_key"),
+        *_key(F.col("doc_id"), F.col("tie")),
+        *(c.alias(n) for c, n in zip(_key(prev["doc_id"], prev["tie"]), PREVIOUS, strict=True)),
         prev["n_chars"].alias("prev_chars"),
     )
 
@@ -219,24 +233,23 @@ def with_next(df: DataFrame) -> DataFrame:
     links = checkpointed(
         neighbours(tied.select("doc_id", "tie", F.length(text).alias("n_chars")))
     )
-    # equal structs may hold nulls, so a null id needs no comparison of its own
     printed = tied.select(
-        F.struct("doc_id", "tie").alias("key"), "text", fingerprint(text).alias("fingerprint")
+        *_key(F.col("doc_id"), F.col("tie")), "text", fingerprint(text).alias("fingerprint")
     )
     starts = (
-        printed.join(links, "key")
+        printed.join(links, KEY)
         .select(
-            F.col("prev_key").alias("key"),
+            *(F.col(p).alias(k) for p, k in zip(PREVIOUS, KEY, strict=True)),
             F.substring("text", F.lit(1), F.floor(F.col("prev_chars") / 2).cast("int")).alias("start"),
             F.col("fingerprint").alias("next_print"),
         )
-        .groupBy("key")
+        .groupBy(*KEY)
         .agg(F.first("start").alias("start"), F.first("next_print").alias("next_print"))
     )
     n = F.length("text")
     first_half = F.substring("text", F.lit(1), (n - F.floor(n / 2)).cast("int"))
-    return printed.join(starts, "key").select(
-        "key.doc_id",
+    return printed.join(starts, KEY).select(
+        F.when(~F.col("none"), F.col("id")).alias("doc_id"),
         "text",
         "fingerprint",
         F.concat(first_half, "start").alias("edited"),
