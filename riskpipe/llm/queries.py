@@ -17,6 +17,7 @@ from riskpipe.llm import (
     pii,
     pu_quality,
     quality_rules,
+    toxicity,
 )
 from riskpipe.llm.shared import table
 
@@ -30,6 +31,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.visible_text(table(spark, sf_dir, "pages"))
 
@@ -62,6 +67,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_html_text": op4_html_text,
     "op5_pu_quality": op5_pu_quality,
     "op6_line_dedup": op6_line_dedup,
