@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,21 +28,37 @@ def texts(df: DataFrame) -> DataFrame:
     return df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df``, written to the shared checkpoint folder; Spark's cleaner owns the files.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as the session's ``spark.checkpoint.dir`` names it.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only where that is unset, as in local
-    tests, a temporary folder takes its place.
+    Only where that is unset, as in local tests, a temporary folder takes its place.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        root = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        root = spark.conf.get("spark.checkpoint.dir", None)
         if not root and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(root or tempfile.mkdtemp(prefix="riskpipe-llm-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df``, written to the shared folder; Spark's cleaner owns the files."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A new path in the shared folder for tables that nothing needs afterwards."""
+    path = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def map_columns(
     df: DataFrame, function: Callable[..., list[tuple]], keep: str, more: str
 ) -> DataFrame:
