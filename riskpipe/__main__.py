@@ -1,10 +1,9 @@
 """The jobs as commands, for ``spark-submit`` or ``python -m riskpipe``.
 
-    clean      raw CSV tables          -> clean tables, quality report
-    features   clean tables            -> feature tables
-    train      clean tables            -> models, evaluation report
-    score      JSON records + models   -> risk profiles, as a running stream
-    generate   nothing                 -> synthetic JSON records
+    clean      raw CSV tables             -> clean tables, quality report
+    features   clean tables               -> feature tables and their fitted stages
+    train      clean or feature tables    -> models, evaluation report
+    score      JSON records + models      -> risk profiles, as a running stream
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ import argparse
 from pyspark.sql import SparkSession
 
 from riskpipe.plans import clean_all, featurize_all, train_all
-from riskpipe.sources import synthesize_patients
 from riskpipe.spec import SPECS
 from riskpipe.streaming import load_models, start_scoring
 
@@ -39,7 +37,9 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--features", required=True)
 
     job = jobs.add_parser("train")
-    job.add_argument("--clean", required=True)
+    source = job.add_mutually_exclusive_group(required=True)
+    source.add_argument("--clean")
+    source.add_argument("--features", help="what the features job wrote")
     job.add_argument("--models", required=True)
     job.add_argument("--report")
     job.add_argument("--fit-on", choices=["all", "train"], default="all")
@@ -49,16 +49,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--input", required=True)
     job.add_argument("--models", required=True)
     job.add_argument("--checkpoint", required=True)
-    job.add_argument("--sink", choices=["console", "parquet", "json"], default="console")
-    job.add_argument("--output")
+    job.add_argument("--sink", choices=["console", "parquet", "json"], default="parquet")
+    job.add_argument("--output", help="where a parquet or json sink writes")
     job.add_argument("--every", default="5 seconds", help="'once' takes what is there and stops")
     job.add_argument("--files-per-trigger", type=int, default=1, help="0 for all waiting files")
     job.add_argument("--missing", choices=["error", "zero"], default="error")
-
-    job = jobs.add_parser("generate")
-    job.add_argument("--rows", type=int, required=True)
-    job.add_argument("--output", required=True)
-    job.add_argument("--seed", type=int, default=42)
     return top
 
 
@@ -68,15 +63,17 @@ def main(arguments: list[str] | None = None) -> None:
     specs = {name: SPECS[name] for name in args.datasets.split(",")}
     if args.job == "clean":
         raw = dict(pair.split("=", 1) for pair in args.raw)
-        clean_all(spark, SPECS, raw, args.clean, args.report, args.error).show(truncate=False)
+        raw = {name: path for name, path in raw.items() if name in specs}
+        report = clean_all(spark, specs, raw, args.clean, args.report, args.error)
+        report.show(max(1, len(raw)), truncate=False)
     elif args.job == "features":
         featurize_all(spark, specs, args.clean, args.features)
     elif args.job == "train":
-        options = {"fit_on": args.fit_on, "split_by": args.split_by}
-        train_all(spark, specs, args.clean, args.models, args.report, **options)
-    elif args.job == "generate":
-        records = synthesize_patients(spark, args.rows, args.seed)
-        records.write.mode("append").json(args.output)
+        options = {"fit_on": args.fit_on, "split_by": args.split_by} if args.clean else {}
+        root = args.clean or args.features
+        train_all(
+            spark, specs, root, args.models, args.report, from_features=bool(args.features), **options
+        )
     else:
         start_scoring(
             spark,

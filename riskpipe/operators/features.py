@@ -17,7 +17,7 @@ from riskpipe.spec import DatasetSpec
 
 MAX_LABELS = 1_000_000  # dictionary entries a fitted indexer may carry to every task
 
-FREQUENT = 1_000  # most frequent values whose indices are broadcast
+HOT_SHARE = 1e-6  # values with more of the rows than this are broadcast: a million at most
 SALTS = 10_000
 
 LABEL, RAW, FEATURES = "label", "features_raw", "features"
@@ -95,13 +95,14 @@ def with_label(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """
     df = df.filter(has_target(df, spec))
     if has_text_target(df, spec):
+        check_dictionaries(df, [spec.target])
         return label_indexer(spec).fit(df).transform(df)
     return df.withColumn(LABEL, as_double(spec.target))
 
 
 def fit_features(df: DataFrame, spec: DatasetSpec) -> PipelineModel:
     """Fit indexers and scaler on the rows of ``df``; text targets get their index here too."""
-    df = to_double(df, spec.numeric).filter(has_target(df, spec))
+    df = to_double(df.filter(has_target(df, spec)), spec.numeric)
     text_target = has_text_target(df, spec)
     check_dictionaries(df, [*spec.categorical, *([spec.target] if text_target else [])])
     target = [label_indexer(spec)] if text_target else []
@@ -112,7 +113,7 @@ def featurize(
     df: DataFrame, spec: DatasetSpec, model: PipelineModel, keep: Sequence[str] = ()
 ) -> DataFrame:
     """``(label, features)`` of the rows that have a target and all features, and ``keep``."""
-    df = to_double(df, spec.numeric).filter(has_target(df, spec))
+    df = to_double(df.filter(has_target(df, spec)), spec.numeric)
     if not has_text_target(df, spec):
         df = df.withColumn(LABEL, as_double(spec.target))
     return model.transform(df).select(LABEL, FEATURES, *[col(name) for name in keep])
@@ -126,31 +127,30 @@ def target_labels(model: PipelineModel) -> list[str] | None:
     return None
 
 
-def index_by_join(df: DataFrame, name: str, frequent: int = FREQUENT) -> DataFrame:
+def index_by_join(df: DataFrame, name: str, hot_share: float = HOT_SHARE) -> DataFrame:
     """Add ``<name>_idx`` by joining the dictionary, for columns too wide for an indexer.
 
-    The same indices as ``category_indexer``: null takes the index after the last.  Indices are
-    ordered by frequency, so the ``frequent`` first ones hold every hot value: they are broadcast.
-    Only the remaining rows, none of whose values is frequent, take part in a shuffled join; the
-    settled ones are spread over it by salts that match nothing.
+    The same indices as ``category_indexer``: null takes the index after the last.  The dictionary
+    has every value's count, so the values that hold more than ``hot_share`` of the rows are known:
+    they are broadcast, at most ``1 / hot_share`` of them.  Only the remaining rows take part in a
+    shuffled join, so none of its keys has a larger share; the settled rows are spread over it by
+    salts that match nothing.
     """
     index = f"{name}_idx"
     known = label_dictionary(df, [name])
-    size = known.count()
+    size, total = known.agg(F.count("*"), F.sum("n_rows")).first()
+    hot = F.col("n_rows") > F.lit(hot_share) * F.lit(total or 0)
     known = known.select(
+        hot.alias("__hot"),
         F.col("value").alias("__value"), F.col("label_index").cast("double").alias("__index")
     )
     value = col(name).cast("string")
-    first = F.broadcast(known.filter(F.col("__index") < frequent))
+    first = F.broadcast(known.filter("__hot").drop("__hot"))
     joined = df.join(first, value == F.col("__value"), "left").drop("__value")
-    if size <= frequent:
-        return joined.withColumn(
-            index, F.coalesce(F.col("__index"), F.lit(float(size)))
-        ).drop("__index")
     salt = F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(SALTS)) + 1
     open_row = F.col("__index").isNull() & col(name).isNotNull()
     joined = joined.withColumn("__salt", F.when(open_row, F.lit(0).cast("long")).otherwise(salt))
-    rest = known.filter(F.col("__index") >= frequent).select(
+    rest = known.filter("NOT __hot").select(
         F.col("__value"), F.lit(0).cast("long").alias("__no_salt"), F.col("__index").alias("__late")
     )
     found = joined.join(

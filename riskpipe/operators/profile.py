@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpipe.functions.columns import as_double, col, present
-from riskpipe.sources.staging import stage
+from riskpipe.sources.staging import stage, staging
 
 WINDOW_ROWS = 1_000_000  # rows that one task may number
 SKETCH_PROOF = 1_000  # largest limit for which a 4096-register sketch proves "more than"
@@ -51,7 +51,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     One branch per column, each reading and shuffling that column alone: less than a single
     aggregate over all of them, which would carry every column in the key of every row.
     """
-    counts = None
+    counts = df.sparkSession.createDataFrame([], "column_name string, n_distinct long")
     for name in cols:
         one = (
             df.select(col(name).alias("value"))
@@ -59,7 +59,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             .agg(F.count("*").alias("n_distinct"))
             .select(F.lit(name).alias("column_name"), "n_distinct")
         )
-        counts = one if counts is None else counts.unionByName(one)
+        counts = counts.unionByName(one)
     return counts
 
 
@@ -118,21 +118,23 @@ def label_dictionary(
     """``(column_name, value, n_rows, label_index)``: most frequent value first, ties by value.
 
     The value counts are staged, so their number is known before any of them is put in order: up
-    to ``window_rows`` a window numbers them, beyond that a range sort does.
+    to ``window_rows`` a window numbers them, beyond that a range sort does.  Only the dictionary
+    outlives the call, as a table of its own.
     """
-    counts = stage(value_counts(df, cols))
     order = [F.desc("n_rows"), F.asc("value")]
-    if counts.count() <= window_rows:
-        index = F.row_number().over(Window.partitionBy("column_name").orderBy(*order)) - 1
-        return counts.withColumn("label_index", index.cast("long"))
-    return _numbered(counts, F.col("column_name"), order)
+    with staging(df.sparkSession) as work:
+        counts = stage(value_counts(df, cols), work, "counts")
+        if counts.count() <= window_rows:
+            index = F.row_number().over(Window.partitionBy("column_name").orderBy(*order)) - 1
+            return stage(counts.withColumn("label_index", index.cast("long")))
+        return stage(_numbered(counts, F.col("column_name"), order, work))
 
 
-def _numbered(counts: DataFrame, group: Column, order: list[Column]) -> DataFrame:
+def _numbered(counts: DataFrame, group: Column, order: list[Column], work: str) -> DataFrame:
     """Number the rows of each group in order, with every task numbering one sorted range."""
     ranged = counts.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
     # The staged ids hold the range number and the position within the range.
-    placed = stage(ranged.withColumn("place", F.monotonically_increasing_id()))
+    placed = stage(ranged.withColumn("place", F.monotonically_increasing_id()), work, "placed")
     part = F.shiftright("place", 33)
     sizes = placed.groupBy("column_name", part.alias("part")).agg(
         F.count("*").alias("rows"), F.min("place").alias("first_place")

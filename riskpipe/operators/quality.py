@@ -14,8 +14,6 @@ from riskpipe.operators.profile import modes
 from riskpipe.operators.quantiles import quantiles
 from riskpipe.spec import DatasetSpec
 
-FEW_CASTS = 8  # casts that may share a projection with a filter above it
-
 
 def drop_ids(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Drop the spec's id columns; absent ones are ignored."""
@@ -23,15 +21,14 @@ def drop_ids(df: DataFrame, spec: DatasetSpec) -> DataFrame:
 
 
 def to_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Leniently cast the given columns that exist and are not double yet, in one projection."""
+    """Leniently cast the given columns that exist and are not double yet, in one projection.
+
+    Filter before the cast, or a table that was written after it: a filter over very many casts,
+    moved below them, makes the optimizer derive a constraint for every subset of the columns.
+    """
     types = dict(df.dtypes)
     casts = {name: as_double(name) for name in present(df, cols) if types[name] != "double"}
-    if len(casts) <= FEW_CASTS:
-        return df.withColumns(casts) if casts else df
-    # A filter over many casts, moved below them, would make the optimizer derive a constraint for
-    # every subset of the cast columns. Filters are not moved below a generator.
-    row = F.struct(*[casts.get(name, col(name)).alias(name) for name in df.columns])
-    return df.select(F.inline(F.array(row)))
+    return df.withColumns(casts) if casts else df
 
 
 def completeness_limit(n_columns: int, max_fraction: float = 0.5) -> int:
@@ -110,6 +107,27 @@ def _within(name: str, bounds: tuple[float, float] | None) -> Column | None:
     return None if bounds is None else col(name).between(*bounds)
 
 
+def outlier_conditions(
+    df: DataFrame,
+    cols: Sequence[str],
+    k: float = 1.5,
+    sequential: bool = True,
+    error: float = 0.01,
+) -> list[Column]:
+    """The conditions that ``remove_outliers`` keeps rows by, in the order of the columns."""
+    cols = present(df, cols)
+    found = {} if sequential else quantiles(df, cols, [0.25, 0.75], error)
+    keep = []
+    for name in cols:
+        if sequential:
+            found = quantiles(df, [name], [0.25, 0.75], error)
+        condition = _within(name, outlier_bounds(found[name], k))
+        if condition is not None:
+            keep.append(condition)
+            df = df.filter(condition) if sequential else df
+    return keep
+
+
 def remove_outliers(
     df: DataFrame,
     cols: Sequence[str],
@@ -123,17 +141,8 @@ def remove_outliers(
     small job per column over the columns so far.  With ``sequential=False`` all quartiles are
     taken from the input in one job: a different, order-free result.
     """
-    cols = present(df, cols)
-    if not sequential:
-        found = quantiles(df, cols, [0.25, 0.75], error)
-        for name in cols:
-            keep = _within(name, outlier_bounds(found[name], k))
-            df = df if keep is None else df.filter(keep)
-        return df
-    for name in cols:
-        found = quantiles(df, [name], [0.25, 0.75], error)
-        keep = _within(name, outlier_bounds(found[name], k))
-        df = df if keep is None else df.filter(keep)
+    for condition in outlier_conditions(df, cols, k, sequential, error):
+        df = df.filter(condition)
     return df
 
 

@@ -14,6 +14,7 @@ from riskpipe.plans.learning import (
     featurize_all,
     train,
     train_all,
+    train_from_features,
 )
 
 __all__ = [
@@ -28,4 +29,5 @@ __all__ = [
     "stage_counts",
     "train",
     "train_all",
+    "train_from_features",
 ]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,11 @@ from riskpipe.operators.quality import (
     fill_missing,
     medians,
     mode_values,
-    remove_outliers,
+    outlier_conditions,
     to_double,
     validate_schema,
 )
-from riskpipe.sources.staging import staging_dir
+from riskpipe.sources.staging import staging, staging_dir
 from riskpipe.sources.tables import read_raw, write_report, write_table
 from riskpipe.spec import DatasetSpec
 
@@ -54,42 +56,41 @@ def clean(
     """Clean a raw table: ids and casts, sparse rows, imputation, outliers, duplicates.
 
     The cast table is written once, with the row's count of missing cells as a column: the passes
-    that follow then read just the columns they need, and the original row count is in the
-    files' footers.  The clean table goes to ``path``, or to a staging table.
+    that follow then read just the columns they need.  The clean table goes to ``path``, or to a
+    table that lasts as long as the application; the cast table is deleted.
 
-    Row counts come from counting tables, not from metrics collected on the way: those may count
-    a partition twice when a lost executor's work is repeated.
+    One aggregate over the cast table counts the rows at each stage; those of the clean table are
+    in its files' footers.  Metrics collected on the way are not used: they may count a partition
+    twice when a lost executor's work is repeated.
     """
     spark = df.sparkSession
     typed = to_double(drop_ids(df, spec), spec.numeric)
     limit = completeness_limit(len(typed.columns), max_missing)
     schema = validate_schema(typed, spec)
 
-    work = staging_dir(spark)
     counted = typed.withColumn(MISSING_CELLS, missing_cells(typed, spec.missing_tokens))
-    counted.write.parquet(f"{work}/typed")
-    staged = spark.read.schema(counted.schema).parquet(f"{work}/typed")
-    complete = staged.filter(F.col(MISSING_CELLS) <= limit).drop(MISSING_CELLS)
-
-    median_of = medians(complete, spec.numeric, error)
-    mode_of = mode_values(complete, spec.categorical, spec.fill_tokens)
-    filled = fill_missing(complete, median_of, mode_of, spec.fill_tokens)
-    continuous = continuous_columns(filled, spec.numeric, CONTINUOUS_OVER)
-    bounded = remove_outliers(filled, continuous, sequential=sequential, error=error)
-
-    path = path or f"{work}/clean"
-    write_table(drop_duplicate_rows(bounded), path)
-    table = spark.read.schema(bounded.schema).parquet(path)
-
-    counts = stage_counts(
-        spec.name,
-        {
-            "original": staged,
-            "complete": complete,
-            "within_bounds": bounded,
-            "final": table,
-        },
-    )
+    path = path or f"{staging_dir(spark)}/clean"
+    with staging(spark) as work:
+        counted.write.parquet(f"{work}/typed")
+        staged = spark.read.schema(counted.schema).parquet(f"{work}/typed")
+        few_gaps = F.col(MISSING_CELLS) <= limit
+        complete = staged.filter(few_gaps).drop(MISSING_CELLS)
+
+        median_of = medians(complete, spec.numeric, error)
+        mode_of = mode_values(complete, spec.categorical, spec.fill_tokens)
+        filled = fill_missing(complete, median_of, mode_of, spec.fill_tokens)
+        continuous = continuous_columns(filled, spec.numeric, CONTINUOUS_OVER)
+        within = reduce(
+            and_, outlier_conditions(filled, continuous, sequential=sequential, error=error), F.lit(True)
+        )
+        write_table(drop_duplicate_rows(filled.filter(within)), path)
+
+        rows = fill_missing(staged, median_of, mode_of, spec.fill_tokens).agg(
+            F.count("*"), F.count_if(few_gaps), F.count_if(few_gaps & within)
+        )
+        sizes = [*rows.first()]
+    table = spark.read.schema(filled.schema).parquet(path)
+    counts = stage_counts(spark, spec.name, dict(zip(STAGES, [*sizes, table.count()], strict=True)))
     return CleanResult(
         table,
         counts,
@@ -101,15 +102,12 @@ def clean(
     )
 
 
-def stage_counts(name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """``(disease, stage, n_rows)``. Each count reads only the columns its filters use."""
-    counts = None
-    for stage_name, table in tables.items():
-        one = table.agg(F.count("*").alias("n_rows")).select(
-            F.lit(name).alias("disease"), F.lit(stage_name).alias("stage"), "n_rows"
-        )
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+def stage_counts(spark: SparkSession, name: str, rows: Mapping[str, int]) -> DataFrame:
+    """``(disease, stage, n_rows)`` from the rows counted at each stage."""
+    return spark.createDataFrame(
+        [(name, stage_name, n) for stage_name, n in rows.items()],
+        "disease string, stage string, n_rows long",
+    )
 
 
 def quality_report(counts: DataFrame, column_count: int) -> DataFrame:
@@ -157,11 +155,11 @@ def clean_all(
     error: float = 0.01,
 ) -> DataFrame:
     """Clean every raw CSV table into ``<clean_root>/<name>``; return and write the report."""
-    report = None
+    report = quality_report(stage_counts(spark, "", {}), 0)
     for name, path in raw_paths.items():
         spec = specs[name]
         done = clean(read_raw(spark, path, spec), spec, f"{clean_root}/{name}", error)
-        report = done.report if report is None else report.unionByName(done.report)
+        report = report.unionByName(done.report)
     if report_path:
         write_report(report.select(*REPORT_COLUMNS), report_path)
     return report

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -16,14 +16,17 @@ from riskpipe.operators.features import FEATURES, LABEL, featurize, fit_features
 from riskpipe.operators.metrics import classification_metrics, confusion
 from riskpipe.operators.quality import to_double
 from riskpipe.operators.training import RiskModel, forest, save_model, split, train_flag
-from riskpipe.sources.staging import spread, stage
+from riskpipe.sources.staging import stage, staging
 from riskpipe.sources.tables import read_table, write_report, write_table
 from riskpipe.spec import DatasetSpec
 
 log = logging.getLogger(__name__)
 
-IS_TRAIN = "is_train"
+IS_TRAIN, ROW_HASH = "is_train", "row_hash"
 METRICS = ("accuracy", "precision", "recall", "f1_score")
+#: Parts of the training rows. A forest's draws depend on it, so it is no setting of the cluster;
+#: raise it with the table, to a few hundred MB of features a part.
+TRAIN_PARTITIONS = 32
 
 
 @dataclass(frozen=True)
@@ -36,15 +39,50 @@ class TrainResult:
     rows_without_target: int
 
 
+def marked(
+    df: DataFrame,
+    spec: DatasetSpec,
+    split_by: str,
+    key: Sequence[str] | None,
+    train_share: float,
+    seed: int,
+) -> DataFrame:
+    """The spec's columns, numbers as such, with ``is_train`` and a hash of the row."""
+    if split_by not in ("hash", "random"):
+        raise ValueError("split_by is 'hash' or 'random'")
+    columns = [f"`{name}`" for name in spec.columns]
+    df = df.withColumn(ROW_HASH, F.xxhash64(*columns))
+    if split_by == "hash":
+        df = df.withColumn(IS_TRAIN, train_flag(key or spec.columns, train_share, seed))
+        return to_double(df.select(*columns, IS_TRAIN, ROW_HASH), spec.numeric)
+    df = to_double(df.select(*columns, ROW_HASH), spec.numeric)
+    parts = split(df, None, train_share, seed)
+    return parts[0].withColumn(IS_TRAIN, F.lit(True)).unionByName(
+        parts[1].withColumn(IS_TRAIN, F.lit(False))
+    )
+
+
 def featurize_all(
-    spark: SparkSession, specs: Mapping[str, DatasetSpec], clean_root: str, feature_root: str
+    spark: SparkSession,
+    specs: Mapping[str, DatasetSpec],
+    clean_root: str,
+    feature_root: str,
+    train_share: float = 0.8,
+    seed: int = 42,
 ) -> dict[str, PipelineModel]:
-    """Write ``<feature_root>/<name>`` tables ``(label, features)``; return the fitted stages."""
+    """Write ``<feature_root>/<name>`` tables ``(label, features, is_train, row_hash)``.
+
+    The fitted stages are saved beside them, as ``<name>.stages``: ``train_from_features`` and
+    scoring need both.
+    """
     models = {}
     for name, spec in specs.items():
-        table = read_table(spark, f"{clean_root}/{name}")
-        models[name] = fit_features(table, spec)
-        write_table(featurize(table, spec, models[name]), f"{feature_root}/{name}")
+        rows = marked(
+            read_table(spark, f"{clean_root}/{name}"), spec, "hash", None, train_share, seed
+        )
+        models[name] = fit_features(rows, spec)
+        write_table(featurize(rows, spec, models[name], keep=[IS_TRAIN, ROW_HASH]), f"{feature_root}/{name}")
+        models[name].write().overwrite().save(f"{feature_root}/{name}.stages")
     return models
 
 
@@ -56,41 +94,57 @@ def train(
     classifier: RandomForestClassifier | None = None,
     train_share: float = 0.8,
     seed: int = 42,
+    split_key: Sequence[str] | None = None,
+    partitions: int = TRAIN_PARTITIONS,
 ) -> TrainResult:
     """Fit features and forest on a clean table and evaluate on the held-out rows.
 
     ``fit_on="all"`` fits indexers and scaler on every row, ``"train"`` on the training rows only,
-    so that nothing leaks from the test rows.  ``split_by="hash"`` splits on a hash of the whole
-    row, which is unique in a de-duplicated table; ``"random"`` is Spark's ``randomSplit``.
+    so that nothing leaks from the test rows.  ``split_by="hash"`` splits on a hash of
+    ``split_key``, or of the whole row, which is unique in a de-duplicated table; ``"random"`` is
+    Spark's ``randomSplit``.
     """
-    if fit_on not in ("all", "train") or split_by not in ("hash", "random"):
-        raise ValueError("fit_on is 'all' or 'train', split_by is 'hash' or 'random'")
-    df = to_double(df.select(*[f"`{name}`" for name in spec.columns]), spec.numeric)
-    if split_by == "hash":
-        marked = df.withColumn(IS_TRAIN, train_flag(spec.columns, train_share, seed))
-    else:
-        parts = split(df, None, train_share, seed)
-        marked = parts[0].withColumn(IS_TRAIN, F.lit(True)).unionByName(
-            parts[1].withColumn(IS_TRAIN, F.lit(False))
-        )
-    if fit_on == "train":
-        marked = stage(marked)
-        fitted = fit_features(marked.filter(IS_TRAIN), spec)
-    else:
-        fitted = fit_features(marked, spec)
-
-    # One pass makes the features of both parts.  The forest passes over its rows once per level:
-    # it gets a narrow table without lineage, and a small one, which may sit in a single file, is
-    # spread over all cores.
-    features = stage(featurize(marked, spec, fitted, keep=[IS_TRAIN]))
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on is 'all' or 'train'")
+    rows = marked(df, spec, split_by, split_key, train_share, seed)
+    with staging(df.sparkSession) as work:
+        if fit_on == "train":
+            rows = stage(rows, work, "marked")
+            fitted = fit_features(rows.filter(IS_TRAIN), spec)
+        else:
+            fitted = fit_features(rows, spec)
+        # One pass makes the features of both parts: a narrow table without lineage.
+        features = stage(featurize(rows, spec, fitted, keep=[IS_TRAIN, ROW_HASH]), work, "features")
+        lost = rows.filter(~has_target(rows, spec)).count()
+        return _grow(features, spec, fitted, classifier, partitions, lost)
+
+
+def train_from_features(
+    features: DataFrame,
+    spec: DatasetSpec,
+    fitted: PipelineModel,
+    classifier: RandomForestClassifier | None = None,
+    partitions: int = TRAIN_PARTITIONS,
+) -> TrainResult:
+    """Fit a forest on a table and stages that ``featurize_all`` wrote. Equal to ``train``."""
+    return _grow(features, spec, fitted, classifier, partitions, 0)
+
+
+def _grow(
+    features: DataFrame,
+    spec: DatasetSpec,
+    fitted: PipelineModel,
+    classifier: RandomForestClassifier | None,
+    partitions: int,
+    lost: int,
+) -> TrainResult:
+    if lost:
+        log.warning("%s: %d rows without a target were left out", spec.name, lost)
     train_rows, test_rows = (features.filter(F.col(IS_TRAIN) == part) for part in (True, False))
-    grown = (classifier or forest()).fit(spread(train_rows))
+    grown = (classifier or forest()).fit(dealt(train_rows, partitions))
     model = RiskModel(spec, PipelineModel(stages=[*fitted.stages, grown]))
-    predictions = model.predict(test_rows.drop(IS_TRAIN))
+    predictions = stage(model.predict(test_rows.drop(IS_TRAIN, ROW_HASH)))
     scored = classification_metrics(confusion(predictions, LABEL)).first()
-    lost = df.filter(~has_target(df, spec)).count()
-    if lost:
-        log.warning("%s: %d rows without a target were left out", spec.name, lost)
     return TrainResult(
         model,
         predictions,
@@ -101,6 +155,16 @@ def train(
     )
 
 
+def dealt(rows: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt and ordered by what they held before scaling, however they came.
+
+    A forest draws its samples by partition and place, so this makes the model depend on the rows
+    and the number of partitions, not on files, cores or executors; the scaler's sums, and so the
+    last digits of thresholds, may still differ.
+    """
+    return rows.repartition(partitions, ROW_HASH).sortWithinPartitions(ROW_HASH, LABEL)
+
+
 def evaluation_report(spark: SparkSession, results: Mapping[str, TrainResult]) -> DataFrame:
     """``(disease, accuracy, precision, recall, f1_score, train_rows, test_rows)``."""
     rows = [
@@ -120,12 +184,21 @@ def train_all(
     clean_root: str,
     model_root: str,
     report_path: str | None = None,
+    from_features: bool = False,
     **options,
 ) -> dict[str, TrainResult]:
-    """Train every dataset from ``<clean_root>/<name>`` and save to ``<model_root>/<name>``."""
+    """Train every dataset from ``<clean_root>/<name>`` and save to ``<model_root>/<name>``.
+
+    ``from_features`` takes ``clean_root`` as what ``featurize_all`` wrote.
+    """
     results = {}
     for name, spec in specs.items():
-        results[name] = train(read_table(spark, f"{clean_root}/{name}"), spec, **options)
+        rows = read_table(spark, f"{clean_root}/{name}")
+        if from_features:
+            fitted = PipelineModel.load(f"{clean_root}/{name}.stages")
+            results[name] = train_from_features(rows, spec, fitted, **options)
+        else:
+            results[name] = train(rows, spec, **options)
         save_model(results[name].model, f"{model_root}/{name}")
     if report_path:
         write_report(evaluation_report(spark, results), report_path)

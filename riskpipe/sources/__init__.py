@@ -1,7 +1,6 @@
-"""Readers, writers and the synthetic record source."""
+"""Readers, writers and intermediate tables."""
 
-from riskpipe.sources.staging import spread, stage, staging_dir
-from riskpipe.sources.synthetic import synthesize_patients
+from riskpipe.sources.staging import stage, staging, staging_dir
 from riskpipe.sources.tables import (
     csv_schema,
     read_raw,
@@ -16,10 +15,9 @@ __all__ = [
     "read_raw",
     "read_stream",
     "read_table",
-    "spread",
     "stage",
+    "staging",
     "staging_dir",
-    "synthesize_patients",
     "write_report",
     "write_table",
 ]

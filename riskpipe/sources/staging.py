@@ -7,40 +7,48 @@ outlives the executors that wrote it.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def staging_dir(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir``, deleted when the application ends."""
+def _new_path(spark: SparkSession):
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="riskpipe-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{root.rstrip('/')}/riskpipe/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(hadoop_path)
-    files.deleteOnExit(hadoop_path)
-    return path
+    return path, hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to a staging table and return the frame that reads it."""
-    spark = df.sparkSession
-    path = f"{staging_dir(spark)}/table"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """A new path below ``spark.checkpoint.dir``, deleted with all that is in it at the end."""
+    path, folder, files = _new_path(spark)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)  # also where the driver stops halfway
+    try:
+        yield path
+    finally:
+        files.delete(folder, True)
+
+
+def staging_dir(spark: SparkSession) -> str:
+    """A new path below ``spark.checkpoint.dir`` for a result, deleted when the application ends."""
+    path, folder, files = _new_path(spark)
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work on a scanned table that comes in fewer splits than that.
+def stage(df: DataFrame, folder: str | None = None, name: str = "table") -> DataFrame:
+    """Write ``df`` to a table and return the frame that reads it.
 
-    For scans only: asking a frame for its partitions runs the shuffles it contains.
+    The table lies in ``folder``, which its owner deletes, or else until the application ends.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    spark = df.sparkSession
+    path = f"{folder or staging_dir(spark)}/{name}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from riskpipe.spec import RECORD_SCHEMA, DatasetSpec
@@ -11,19 +12,21 @@ from riskpipe.spec import RECORD_SCHEMA, DatasetSpec
 def csv_schema(spark: SparkSession, path: str, spec: DatasetSpec) -> StructType:
     """Schema of a raw CSV table from its header line and the spec, without a pass over the data.
 
-    Numeric columns are read as text: the lenient cast that follows decides what is a number.
+    All columns are read as text: the lenient cast that follows decides what is a number.  A target
+    of the spec's type ``double`` is read as such only if no cell of it says otherwise, which one
+    scan of that column settles; else it stays text, to be indexed as classes.
     """
     header = spark.read.option("header", True).csv(path).columns
-    numeric_target = spec.target_type != "string"
-    return StructType(
-        [
-            StructField(
-                name,
-                DoubleType() if numeric_target and name == spec.target else StringType(),
-            )
-            for name in header
-        ]
-    )
+    types = dict.fromkeys(header, StringType())
+    if spec.target_type != "string" and spec.target in types:
+        schema = StructType([StructField(name, kind) for name, kind in types.items()])
+        cell = F.col(f"`{spec.target}`")
+        value = F.when(~F.trim(cell).isin("", *spec.missing_tokens), cell)
+        odd = F.count_if(value.isNotNull() & value.try_cast("double").isNull())
+        rows = spark.read.option("header", True).schema(schema).csv(path)
+        if not rows.agg(odd).first()[0]:
+            types[spec.target] = DoubleType()
+    return StructType([StructField(name, kind) for name, kind in types.items()])
 
 
 def read_raw(

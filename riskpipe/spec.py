@@ -116,59 +116,63 @@ class RecordField:
     scale: int = 1
 
 
-def _ranged(names: str, low: int, high: int, scale: int = 1) -> dict[str, RecordField]:
-    return {n: RecordField(n, low=low, high=high, scale=scale) for n in names.split()}
-
-
-# --- Fixed values: value domains of the patient record ------------------------------------------
-
-_DOMAINS: dict[str, RecordField] = {
-    # survey answers
-    **_ranged("HighBP HighChol CholCheck Smoker Stroke HeartDiseaseorAttack PhysActivity Fruits "
-              "Veggies HvyAlcoholConsump AnyHealthcare NoDocbcCost DiffWalk Sex", 0, 1),
-    **_ranged("BMI bmi_stroke", 150, 500, scale=10),
-    **_ranged("Diabetes", 0, 2),
-    **_ranged("GenHlth", 1, 5),
-    **_ranged("MentHlth PhysHlth", 0, 30),
-    **_ranged("Age", 1, 13),
-    **_ranged("Education", 1, 6),
-    **_ranged("Income", 1, 8),
-    # stroke questions
-    "gender": RecordField("gender", ("Male", "Female")),
-    **_ranged("age_stroke", 200, 850, scale=10),
-    **_ranged("hypertension heart_disease", 0, 1),
-    "ever_married": RecordField("ever_married", ("Yes", "No")),
-    "work_type": RecordField("work_type", ("Private", "Self-employed", "Govt_job", "children")),
-    "Residence_type": RecordField("Residence_type", ("Urban", "Rural")),
-    **_ranged("avg_glucose_level", 5500, 28000, scale=100),
-    "smoking_status": RecordField(
-        "smoking_status", ("formerly smoked", "never smoked", "smokes", "Unknown")
-    ),
-    # lung questions
-    **_ranged("Gender_lung", 1, 2),
-    **_ranged("chronic_Lung_Disease Balanced_Diet Obesity Frequent_Cold Dry_Cough Snoring", 1, 7),
-    **_ranged("Air_Pollution Alcohol_use Dust_Allergy OccuPational_Hazards Genetic_Risk "
-              "Smoking_lung Passive_Smoker Weight_Loss Wheezing Swallowing_Difficulty", 1, 8),
-    **_ranged("Chest_Pain Coughing_of_Blood Fatigue Shortness_of_Breath "
-              "Clubbing_of_Finger_Nails", 1, 9),
-}
-
-# --- Fixed values: field order of the patient record ---------------------------------------------
-
-_SURVEY_ORDER = (
-    "HighBP", "HighChol", "CholCheck", "BMI", "Smoker", "Stroke", "Diabetes",
-    "HeartDiseaseorAttack", "PhysActivity", "Fruits", "Veggies", "HvyAlcoholConsump",
-    "AnyHealthcare", "NoDocbcCost", "GenHlth", "MentHlth", "PhysHlth", "DiffWalk", "Sex", "Age",
-    "Education", "Income",
-)
-_STROKE_ORDER = (
-    "gender", "age_stroke", "hypertension", "heart_disease", "ever_married", "work_type",
-    "Residence_type", "avg_glucose_level", "bmi_stroke", "smoking_status",
-)
-_LUNG_ORDER = tuple(LUNG_CANCER.record_field(name) for name in LUNG_NUMERIC if name != "Age")
-
-RECORD_FIELDS: tuple[RecordField, ...] = tuple(
-    _DOMAINS[name] for name in _SURVEY_ORDER + _STROKE_ORDER + _LUNG_ORDER
+# --- Fixed values: fields of the patient record in order, and their domains -----------------------
+
+RECORD_FIELDS: tuple[RecordField, ...] = (
+    RecordField("HighBP", low=0, high=1),
+    RecordField("HighChol", low=0, high=1),
+    RecordField("CholCheck", low=0, high=1),
+    RecordField("BMI", low=150, high=500, scale=10),
+    RecordField("Smoker", low=0, high=1),
+    RecordField("Stroke", low=0, high=1),
+    RecordField("Diabetes", low=0, high=2),
+    RecordField("HeartDiseaseorAttack", low=0, high=1),
+    RecordField("PhysActivity", low=0, high=1),
+    RecordField("Fruits", low=0, high=1),
+    RecordField("Veggies", low=0, high=1),
+    RecordField("HvyAlcoholConsump", low=0, high=1),
+    RecordField("AnyHealthcare", low=0, high=1),
+    RecordField("NoDocbcCost", low=0, high=1),
+    RecordField("GenHlth", low=1, high=5),
+    RecordField("MentHlth", low=0, high=30),
+    RecordField("PhysHlth", low=0, high=30),
+    RecordField("DiffWalk", low=0, high=1),
+    RecordField("Sex", low=0, high=1),
+    RecordField("Age", low=1, high=13),
+    RecordField("Education", low=1, high=6),
+    RecordField("Income", low=1, high=8),
+    RecordField("gender", ("Male", "Female")),
+    RecordField("age_stroke", low=200, high=850, scale=10),
+    RecordField("hypertension", low=0, high=1),
+    RecordField("heart_disease", low=0, high=1),
+    RecordField("ever_married", ("Yes", "No")),
+    RecordField("work_type", ("Private", "Self-employed", "Govt_job", "children")),
+    RecordField("Residence_type", ("Urban", "Rural")),
+    RecordField("avg_glucose_level", low=5500, high=28000, scale=100),
+    RecordField("bmi_stroke", low=150, high=500, scale=10),
+    RecordField("smoking_status", ("formerly smoked", "never smoked", "smokes", "Unknown")),
+    RecordField("Gender_lung", low=1, high=2),
+    RecordField("Air_Pollution", low=1, high=8),
+    RecordField("Alcohol_use", low=1, high=8),
+    RecordField("Dust_Allergy", low=1, high=8),
+    RecordField("OccuPational_Hazards", low=1, high=8),
+    RecordField("Genetic_Risk", low=1, high=8),
+    RecordField("chronic_Lung_Disease", low=1, high=7),
+    RecordField("Balanced_Diet", low=1, high=7),
+    RecordField("Obesity", low=1, high=7),
+    RecordField("Smoking_lung", low=1, high=8),
+    RecordField("Passive_Smoker", low=1, high=8),
+    RecordField("Chest_Pain", low=1, high=9),
+    RecordField("Coughing_of_Blood", low=1, high=9),
+    RecordField("Fatigue", low=1, high=9),
+    RecordField("Weight_Loss", low=1, high=8),
+    RecordField("Shortness_of_Breath", low=1, high=9),
+    RecordField("Wheezing", low=1, high=8),
+    RecordField("Swallowing_Difficulty", low=1, high=8),
+    RecordField("Clubbing_of_Finger_Nails", low=1, high=9),
+    RecordField("Frequent_Cold", low=1, high=7),
+    RecordField("Dry_Cough", low=1, high=7),
+    RecordField("Snoring", low=1, high=7),
 )
 
 RECORD_KEYS = ("patient_id", "timestamp")

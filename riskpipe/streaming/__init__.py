@@ -3,9 +3,9 @@
 from riskpipe.streaming.scorer import (
     fan_out,
     load_models,
-    score_stream,
+    print_rows,
     start_scoring,
     write_stream,
 )
 
-__all__ = ["fan_out", "load_models", "score_stream", "start_scoring", "write_stream"]
+__all__ = ["fan_out", "load_models", "print_rows", "start_scoring", "write_stream"]

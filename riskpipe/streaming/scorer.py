@@ -6,7 +6,7 @@ the source's progress, kept in the checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -25,16 +25,6 @@ def load_models(root: str, specs: Mapping[str, DatasetSpec]) -> dict[str, RiskMo
     return {name: load_model(f"{root}/{name}", spec) for name, spec in specs.items()}
 
 
-def score_stream(
-    records: DataFrame,
-    models: Mapping[str, RiskModel],
-    keep: Sequence[str] = RECORD_KEYS,
-    missing: str = "error",
-) -> DataFrame:
-    """A streaming frame of results, see ``score``."""
-    return score(records, models, keep, missing)
-
-
 def fan_out(*sinks: BatchSink) -> BatchSink:
     """One batch function for several sinks.
 
@@ -55,6 +45,13 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
     return write
 
 
+def print_rows(batch: DataFrame, batch_id: int) -> None:
+    """Print all rows of a batch, one JSON line each; the driver holds one partition at a time."""
+    print(f"batch {batch_id}")
+    for row in batch.toJSON().toLocalIterator():
+        print(row)
+
+
 def _timed(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     if every is None:
         return writer.trigger(availableNow=True)
@@ -64,26 +61,27 @@ def _timed(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 def write_stream(
     results: DataFrame,
     checkpoint: str,
-    sink: str | BatchSink = "console",
+    sink: str | BatchSink = "parquet",
     path: str | None = None,
     every: str | None = "5 seconds",
     name: str | None = None,
 ) -> StreamingQuery:
     """Start writing a streaming frame.
 
-    ``sink`` is a format (``parquet``, ``json``, ``memory``, ``console``) or a function of a batch
-    and its number, such as ``fan_out(...)``.  ``every=None`` processes what is there and stops.
-    The row count of each batch is in the query's ``lastProgress``.
+    ``sink`` is a format (``parquet`` and ``json``, which need a ``path``, or ``memory``),
+    ``console``, which prints every row, or a function of a batch and its number, such as
+    ``fan_out(...)``.  ``every=None`` processes what is there and stops.  The row count of each
+    batch is in the query's ``lastProgress``.
     """
+    if sink in ("parquet", "json") and not path:
+        raise ValueError(f"a {sink} sink needs a path")
+    sink = print_rows if sink == "console" else sink
     writer = results.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if callable(sink):
         return _timed(writer.foreachBatch(sink), every).start()
-    writer = writer.format(sink)
-    if sink == "console":
-        writer = writer.option("truncate", False)
-    writer = _timed(writer, every)
+    writer = _timed(writer.format(sink), every)
     return writer.start(path) if path else writer.start()
 
 
@@ -92,7 +90,7 @@ def start_scoring(
     input_path: str,
     models: Mapping[str, RiskModel],
     checkpoint: str,
-    sink: str | BatchSink = "console",
+    sink: str | BatchSink = "parquet",
     output_path: str | None = None,
     every: str | None = "5 seconds",
     max_files_per_trigger: int | None = 1,
@@ -100,5 +98,5 @@ def start_scoring(
 ) -> StreamingQuery:
     """Watch a folder of JSON records and write their risk profiles."""
     records = read_stream(spark, input_path, RECORD_SCHEMA, max_files_per_trigger)
-    results = score_stream(records, models, missing=missing)
+    results = score(records, models, RECORD_KEYS, missing)
     return write_stream(results, checkpoint, sink, output_path, every)

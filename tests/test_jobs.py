@@ -1,8 +1,10 @@
 """The jobs end to end, from a raw CSV table to scored JSON records."""
 
+from pyspark.ml import PipelineModel
+
 from riskpipe.__main__ import main
-from riskpipe.sources import synthesize_patients
 from riskpipe.spec import SPECS
+from verification.synthetic import synthesize_patients
 from verification.tables import training_rows
 
 
@@ -30,11 +32,26 @@ def test_clean_train_and_score(spark, tmp_path):
     evaluation = spark.read.option("header", True).csv(reports[1]).first()
     assert int(evaluation["train_rows"]) + int(evaluation["test_rows"]) == cleaned.count()
 
-    main(["generate", "--rows", "50", "--output", at["in"]])
+    # from what the features job wrote: the same forest, and scores of the same form
+    by_features = str(tmp_path / "models2")
+    main([*only, "train", "--features", at["features"], "--models", by_features])
+    forests = [
+        PipelineModel.load(f"{root}/stroke").stages[-1].toDebugString for root in (at["models"], by_features)
+    ]
+    assert forests[0].split("\n")[1:] == forests[1].split("\n")[1:]
+
+    synthesize_patients(spark, 50).write.json(at["in"])
     main(
         [*only, "score", "--input", at["in"], "--models", at["models"], "--checkpoint", at["ckpt"]]
         + ["--sink", "parquet", "--output", at["out"], "--every", "once", "--files-per-trigger", "0"]
     )
+    main(
+        [*only, "score", "--input", at["in"], "--models", by_features, "--checkpoint", at["ckpt"] + "2"]
+        + ["--output", at["out"] + "2", "--every", "once"]
+    )
+    key = ["patient_id", "risk", "probability"]
+    both = [sorted(map(str, spark.read.parquet(p).select(key).collect())) for p in (at["out"], at["out"] + "2")]
+    assert both[0] == both[1]
     scored = spark.read.parquet(at["out"])
     assert scored.count() == 50
     assert scored.filter("risk IN ('LOW', 'MEDIUM', 'HIGH') AND error IS NULL").count() == 50

@@ -18,9 +18,10 @@ from riskpipe.operators import (
     top_features,
 )
 from riskpipe.plans import evaluation_report, featurize_all, train, train_all
-from riskpipe.sources import read_stream, stage, synthesize_patients, write_table
+from riskpipe.sources import read_stream, stage, write_table
 from riskpipe.spec import RECORD_FIELDS, RECORD_SCHEMA, SPECS
-from riskpipe.streaming import fan_out, load_models, score_stream, start_scoring, write_stream
+from riskpipe.streaming import fan_out, load_models, start_scoring, write_stream
+from verification.synthetic import synthesize_patients
 from verification.tables import training_rows
 
 COLUMNS = ["patient_id", "timestamp", "dataset", "risk", "probability", "error"]
@@ -72,7 +73,7 @@ def test_record_schema_and_domains(records):
             assert {low, high} <= set(f.choices)
         else:
             assert f.low / f.scale <= low < high <= f.high / f.scale
-    assert records.filter("patient_id RLIKE '^PAT-[A-Z][a-z]+-[A-Z][a-z]+-[1-9][0-9]{3}$'").count() == 300
+    assert records.filter("patient_id RLIKE '^PAT-[A-Z][a-z]+-[A-Z][a-z]+-[0-9]+$'").count() == 300
     assert records.agg(F.max("timestamp")).first()[0] == "2024-01-01 00:24:55"
 
 
@@ -101,7 +102,7 @@ def test_feature_tables(spark, clean_root, tmp_path):
     featurize_all(spark, SPECS, clean_root, str(tmp_path))
     for name in SPECS:
         df = spark.read.parquet(str(tmp_path / name))
-        assert df.columns == ["label", "features"] and df.count() == 300
+        assert df.columns == ["label", "features", "is_train", "row_hash"] and df.count() == 300
 
 
 def test_fit_on_training_rows_and_random_split(spark, clean_root):
@@ -215,7 +216,7 @@ def test_absent_json_fields_are_errors(spark, models, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     (source / "one.json").write_text(json.dumps({"patient_id": "P", "timestamp": "t", "BMI": 20.0}))
-    stream = score_stream(read_stream(spark, str(source)), models)
+    stream = score(read_stream(spark, str(source)), models)
     write_stream(
         stream, str(tmp_path / "progress"), "parquet", str(tmp_path / "out"), every=None
     ).awaitTermination()
@@ -223,6 +224,30 @@ def test_absent_json_fields_are_errors(spark, models, tmp_path):
     assert len(got) == 4 and all(r["error"].startswith("missing: ") for r in got)
 
 
+def test_a_forest_does_not_depend_on_files_or_cores(spark, records):
+    rows = stage(training_rows(records, "stroke"))
+    grown = [
+        train(part, SPECS["stroke"], classifier=forest(trees=5, depth=4))
+        for part in (rows.coalesce(1), rows.repartition(7))
+    ]
+    found = [
+        sorted((r["label"], round(r["probability"][1], 9)) for r in g.predictions.collect()) for g in grown
+    ]
+    assert found[0] == found[1] and len(found[0]) > 20
+
+
+def test_console_prints_every_result(spark, models, records, tmp_path, capsys):
+    write_json(records.limit(30), tmp_path / "in", 1)
+    with pytest.raises(ValueError, match="path"):
+        start_scoring(spark, str(tmp_path / "in"), models, str(tmp_path / "progress"))
+    query = start_scoring(
+        spark, str(tmp_path / "in"), models, str(tmp_path / "progress"), "console", every=None
+    )
+    query.awaitTermination()
+    printed = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert len(printed) == 120 and len({(p["patient_id"], p["dataset"]) for p in printed}) == 120
+
+
 def test_batches_fan_out_and_empty_ones_are_skipped(spark, models, records, tmp_path):
     write_json(records.limit(20), tmp_path / "in", 2)
     seen = []

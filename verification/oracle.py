@@ -5,8 +5,7 @@ Queries over random forests have no SQL form; their invariants do.
 
 from __future__ import annotations
 
-from riskpipe.sources.synthetic import FIRST_NAMES, LAST_NAMES
-from riskpipe.spec import LUNG_NUMERIC, RECORD_FIELDS, SPECS, RecordField
+from verification.synthetic import FIRST_NAMES, LAST_NAMES
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -198,16 +197,12 @@ ORACLE_SQL["quality_report"] = (
 
 ORACLE_SQL["csv_round_trip"] = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
-       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"""
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS o_orderdate, o_orderpriority FROM orders"""
 
 ORACLE_SQL["csv_spec_scan"] = f"""WITH {TYPED}
-SELECT n_missing, count(*) AS n_rows, sum(bucket) AS bucket_sum FROM counted GROUP BY n_missing"""
+SELECT value_raw, user_id, event_type, bucket, CAST(flag AS DOUBLE) AS flag FROM typed"""
 
-ORACLE_SQL["parquet_round_trip"] = """
-SELECT l_returnflag, l_linestatus, count(*) AS n_rows,
-       CAST(sum(l_orderkey) AS BIGINT) AS orderkey_sum, max(l_extendedprice) AS max_price
-FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-09-02 00:00:00'
-GROUP BY l_returnflag, l_linestatus"""
+ORACLE_SQL["parquet_round_trip"] = "SELECT * FROM lineitem"
 
 ORACLE_SQL["report_round_trip"] = f"{_REPORT} FROM sizes"
 
@@ -225,18 +220,79 @@ def _pick(field: str, choices: tuple[str, ...]) -> str:
     return f"([{listed}])[{_draw(field, 1, len(choices))}]"
 
 
-def _field(field: RecordField) -> str:
-    if field.choices:
-        return _pick(field.name, field.choices)
-    drawn = f"CAST({_draw(field.name, field.low, field.high)} AS DOUBLE)"
-    return f"{drawn} / {field.scale}" if field.scale > 1 else drawn
+# The record's fields and domains, written out here so that the library's own list is checked by it:
+# a name and its choices, or a whole number in low..high over a scale.
+DOMAINS = (
+    ("HighBP", 0, 1, 1),
+    ("HighChol", 0, 1, 1),
+    ("CholCheck", 0, 1, 1),
+    ("BMI", 150, 500, 10),
+    ("Smoker", 0, 1, 1),
+    ("Stroke", 0, 1, 1),
+    ("Diabetes", 0, 2, 1),
+    ("HeartDiseaseorAttack", 0, 1, 1),
+    ("PhysActivity", 0, 1, 1),
+    ("Fruits", 0, 1, 1),
+    ("Veggies", 0, 1, 1),
+    ("HvyAlcoholConsump", 0, 1, 1),
+    ("AnyHealthcare", 0, 1, 1),
+    ("NoDocbcCost", 0, 1, 1),
+    ("GenHlth", 1, 5, 1),
+    ("MentHlth", 0, 30, 1),
+    ("PhysHlth", 0, 30, 1),
+    ("DiffWalk", 0, 1, 1),
+    ("Sex", 0, 1, 1),
+    ("Age", 1, 13, 1),
+    ("Education", 1, 6, 1),
+    ("Income", 1, 8, 1),
+    ("gender", ["Male", "Female"]),
+    ("age_stroke", 200, 850, 10),
+    ("hypertension", 0, 1, 1),
+    ("heart_disease", 0, 1, 1),
+    ("ever_married", ["Yes", "No"]),
+    ("work_type", ["Private", "Self-employed", "Govt_job", "children"]),
+    ("Residence_type", ["Urban", "Rural"]),
+    ("avg_glucose_level", 5500, 28000, 100),
+    ("bmi_stroke", 150, 500, 10),
+    ("smoking_status", ["formerly smoked", "never smoked", "smokes", "Unknown"]),
+    ("Gender_lung", 1, 2, 1),
+    ("Air_Pollution", 1, 8, 1),
+    ("Alcohol_use", 1, 8, 1),
+    ("Dust_Allergy", 1, 8, 1),
+    ("OccuPational_Hazards", 1, 8, 1),
+    ("Genetic_Risk", 1, 8, 1),
+    ("chronic_Lung_Disease", 1, 7, 1),
+    ("Balanced_Diet", 1, 7, 1),
+    ("Obesity", 1, 7, 1),
+    ("Smoking_lung", 1, 8, 1),
+    ("Passive_Smoker", 1, 8, 1),
+    ("Chest_Pain", 1, 9, 1),
+    ("Coughing_of_Blood", 1, 9, 1),
+    ("Fatigue", 1, 9, 1),
+    ("Weight_Loss", 1, 8, 1),
+    ("Shortness_of_Breath", 1, 9, 1),
+    ("Wheezing", 1, 8, 1),
+    ("Swallowing_Difficulty", 1, 8, 1),
+    ("Clubbing_of_Finger_Nails", 1, 9, 1),
+    ("Frequent_Cold", 1, 7, 1),
+    ("Dry_Cough", 1, 7, 1),
+    ("Snoring", 1, 7, 1),
+)
+
+
+def _field(name: str, *domain) -> str:
+    if len(domain) == 1:
+        return _pick(name, domain[0])
+    low, high, scale = domain
+    drawn = f"CAST({_draw(name, low, high)} AS DOUBLE)"
+    return f"{drawn} / {scale}" if scale > 1 else drawn
 
 
 def _patients(source: str, key: str) -> str:
-    fields = ",\n  ".join(f'{_field(f)} AS "{f.name}"' for f in RECORD_FIELDS)
+    fields = ",\n  ".join(f'{_field(*f)} AS "{f[0]}"' for f in DOMAINS)
     return f"""patients AS (
 SELECT 'PAT-' || {_pick("first", FIRST_NAMES)} || '-' || {_pick("last", LAST_NAMES)}
-    || '-' || {_draw("number", 1000, 9999)} AS patient_id,
+    || '-' || id AS patient_id,
   strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((id % 6307200) * 5),
            '%Y-%m-%d %H:%M:%S') AS "timestamp",
   {fields}
@@ -366,9 +422,31 @@ ORACLE_SQL["rename_stroke"] = f"""WITH {_CUSTOMERS}
 SELECT patient_id, "timestamp", age_stroke AS age, hypertension, heart_disease, avg_glucose_level,
   bmi_stroke AS bmi, gender, ever_married, work_type, Residence_type, smoking_status FROM patients"""
 
-_LUNG_COLUMNS = ", ".join(
-    f'"{SPECS["lungcancer"].record_field(name)}" AS "{name}"' for name in LUNG_NUMERIC
-)
+_LUNG_COLUMNS = """
+  "Age" AS "Age",
+  "Gender_lung" AS "Gender",
+  "Air_Pollution" AS "Air Pollution",
+  "Alcohol_use" AS "Alcohol use",
+  "Dust_Allergy" AS "Dust Allergy",
+  "OccuPational_Hazards" AS "OccuPational Hazards",
+  "Genetic_Risk" AS "Genetic Risk",
+  "chronic_Lung_Disease" AS "chronic Lung Disease",
+  "Balanced_Diet" AS "Balanced Diet",
+  "Obesity" AS "Obesity",
+  "Smoking_lung" AS "Smoking",
+  "Passive_Smoker" AS "Passive Smoker",
+  "Chest_Pain" AS "Chest Pain",
+  "Coughing_of_Blood" AS "Coughing of Blood",
+  "Fatigue" AS "Fatigue",
+  "Weight_Loss" AS "Weight Loss",
+  "Shortness_of_Breath" AS "Shortness of Breath",
+  "Wheezing" AS "Wheezing",
+  "Swallowing_Difficulty" AS "Swallowing Difficulty",
+  "Clubbing_of_Finger_Nails" AS "Clubbing of Finger Nails",
+  "Frequent_Cold" AS "Frequent Cold",
+  "Dry_Cough" AS "Dry Cough",
+  "Snoring" AS "Snoring"
+"""
 ORACLE_SQL["rename_lung"] = (
     f'WITH {_CUSTOMERS} SELECT patient_id, "timestamp", {_LUNG_COLUMNS} FROM patients'
 )
@@ -395,7 +473,10 @@ ORACLE_SQL["score_validity"] = f"WITH {_GAPPY}\n" + "\nUNION ALL\n".join(
 
 ORACLE_SQL["zero_filled_inputs"] = f"""WITH {_CUSTOMERS}
 SELECT patient_id, "timestamp", CASE WHEN age_stroke < 25 THEN 0 ELSE age_stroke END AS age,
-  bmi_stroke AS bmi,
+  hypertension, heart_disease,
+  CASE WHEN avg_glucose_level > 260 THEN CAST('nan' AS DOUBLE)
+       ELSE avg_glucose_level END AS avg_glucose_level,  -- a null is zero, NaN stays
+  bmi_stroke AS bmi, gender, ever_married, work_type, Residence_type,
   CASE WHEN smoking_status = 'Unknown' THEN NULL ELSE smoking_status END AS smoking_status
 FROM patients"""
 
@@ -408,3 +489,30 @@ ORACLE_SQL["score_invariants"] = f"WITH {_GAPPY}\n" + "\nUNION ALL\n".join(
 ORACLE_SQL["stream_matches_batch"] = """
 SELECT unnest(['heart', 'diabetes', 'stroke', 'lungcancer']) AS dataset,
        count(*) AS n_rows, count(*) AS n_equal FROM customer"""
+
+ORACLE_SQL["triggered_stream"] = ORACLE_SQL["json_stream_source"]
+
+# --- invariants of trained forests ---------------------------------------------------------------
+
+_TEST_ROWS = "CAST('0x' || substr(md5('42:' || o_orderkey), 1, 8) AS UBIGINT) % 100 >= 80"
+
+ORACLE_SQL["forest_on_orders"] = f"""
+SELECT count(*) FILTER (NOT {_TEST_ROWS}) AS train_rows, count(*) FILTER ({_TEST_ROWS}) AS test_rows,
+  count(*) FILTER ({_TEST_ROWS}) AS n_sound, true AS metrics_agree, true AS same_when_dealt_anew
+FROM orders"""
+
+ORACLE_SQL["forest_test_labels"] = f"""WITH {_index("o_orderstatus")}
+SELECT i AS label, count(*) AS n_rows FROM orders JOIN ix_o_orderstatus ON o_orderstatus = v
+WHERE {_TEST_ROWS} GROUP BY i"""
+
+ORACLE_SQL["importances_on_orders"] = """
+SELECT unnest(['o_custkey', 'o_orderpriority_idx', 'o_totalprice']) AS feature,
+  true AS ordered, CAST(1 AS DOUBLE) AS total"""
+
+ORACLE_SQL["schema_check"] = """
+SELECT * FROM (VALUES ('o_totalprice', true, 'double', 'double'), ('o_custkey', true, 'double', 'double'),
+  ('o_orderpriority', false, 'string', NULL), ('o_orderstatus', true, 'string', 'string'))
+  AS t(column_name, present, expected_type, actual_type)"""
+
+ORACLE_SQL["index_skewed_category"] = f"""WITH {_index("user_id", "events")}
+SELECT event_id, i AS user_id_idx FROM events JOIN ix_user_id ON user_id = v"""

@@ -17,9 +17,8 @@ START = "2024-01-01 00:00:00"
 SECONDS_APART = 5
 SLOTS = 6_307_200  # five-second steps in a 365-day year; later ids start the year again
 
-
 DRAWS = "draws"
-DRAWN_FIELDS = ("first", "last", "number", *[f.name for f in RECORD_FIELDS])
+DRAWN_FIELDS = ("first", "last", *[f.name for f in RECORD_FIELDS])
 
 
 def _draw(field: str, low: int, high: int) -> str:
@@ -59,7 +58,8 @@ def synthesize_patients(
     # A timestamp without zone, so the text does not move with the session's zone.
     seconds = f"CAST({number} % {SLOTS} * {SECONDS_APART} AS INT)"
     return ids.selectExpr(quoted(id_column), f"{hashes} AS {DRAWS}").selectExpr(
-        f"concat_ws('-', 'PAT', {first}, {last}, {_draw('number', 1000, 9999)}) AS patient_id",
+        # the id itself ends the key: no two records share it
+        f"concat_ws('-', 'PAT', {first}, {last}, {number}) AS patient_id",
         f"CAST(timestampadd(SECOND, {seconds}, TIMESTAMP_NTZ'{START}') AS STRING) AS timestamp",
         *[f"{_value(f)} AS {quoted(f.name)}" for f in RECORD_FIELDS],
     )

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskpipe.operators import project_for
-from riskpipe.sources import spread, stage, synthesize_patients
+from riskpipe.sources import stage
 from riskpipe.spec import SPECS, DatasetSpec
+from verification.synthetic import synthesize_patients
 
 DIRTY = DatasetSpec(
     "dirty_events",
@@ -57,7 +58,7 @@ def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One complete record per customer."""
     customers = table(spark, sf_dir, "customer").select("c_custkey")
-    return synthesize_patients(spread(customers), id_column="c_custkey")
+    return synthesize_patients(customers, id_column="c_custkey")
 
 
 def gappy_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
