@@ -8,7 +8,8 @@ links would give, testing few of the pairs:
   shrinks to one group here, at one test a member and round.
 * A last pass is exact: wherever a bucket still holds members of more than one group, each member
   outside its largest group is tested against all members of other groups. Pairs inside one group
-  need no test, as their group is known.
+  need no test, as their group is known. Where many members may be alike and yet not linked, the
+  caller brings a pass of its own, which need not list these pairs either.
 
 So no link is lost, and what is tested follows the links and the failed candidates, not the square
 of a bucket. Groups are the components of the links, by alternating large-star and small-star
@@ -77,10 +78,12 @@ def shared_members(members: DataFrame) -> DataFrame:
     return members.join(several.select("bucket"), "bucket")
 
 
-def grouped(members: DataFrame, test: Test) -> DataFrame:
+def grouped(members: DataFrame, test: Test, last: Test | None = None) -> DataFrame:
     """``node, root`` of all nodes that are linked to a smaller one, directly or through others.
 
-    ``members`` is checkpointed and has the rows of ``shared_members``, nodes as longs.
+    ``members`` is checkpointed and has the rows of ``shared_members``, nodes as longs. ``last``
+    makes links (a, b) from the rows (bucket, node, root) of all buckets with several groups: enough
+    of them to connect what the links in each bucket connect.
     """
     roots = None
     for turn in range(ROUNDS):
@@ -105,6 +108,8 @@ def grouped(members: DataFrame, test: Test) -> DataFrame:
         .select("bucket", "main")
     )
     mixed = labelled.join(main, "bucket")
+    if last:
+        return _joined(roots, last(mixed.select("bucket", "node", "root")))
     outside = mixed.filter("root <> main").select(
         "bucket", F.col("node").alias("one"), F.col("root").alias("one_root")
     )

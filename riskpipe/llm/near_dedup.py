@@ -12,6 +12,9 @@ at least ``PERCENT`` hundredths; groups are the components of the links.
    collisions, which the estimate takes off. Candidates whose count is beyond that of a pair at the
    threshold by six standard deviations are dropped.
 4. The rest are confirmed on their full sets, which are made again for candidates only.
+5. Buckets whose members still belong to several groups, such as many near copies that are just not
+   near enough, are compared in blocks of at most some ``BLOCK_ROWS`` members: a task compares two
+   blocks, sketches first, then sets, and returns the few links that connect them, not the pairs.
 
 Shingles are compared by 64-bit hashes. A null or empty text, or one of blanks, is linked with
 nothing. Rows that repeat an id and a text are one document; different texts under one id, or
@@ -25,6 +28,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +44,9 @@ SKETCH_BITS = 1024
 #: Words a Python worker remembers the hashes of.
 CACHED_WORDS = 300_000
 CHUNK_SHINGLES = 1024
+#: Members of a block, about; and shingles whose common use is counted at once.
+BLOCK_ROWS = 192
+CHUNK_COLUMNS = 4096
 
 _U = np.uint64
 
@@ -207,7 +214,10 @@ def _rooted(df: DataFrame, percent: int) -> DataFrame:
             .select("a", "b")
         )
 
-    roots = grouped(members, test)
+    def last(mixed: DataFrame) -> DataFrame:
+        return _block_links(mixed, known.select("node", "sketch").join(sets, "node"), percent)
+
+    roots = grouped(members, test, last)
     of_set = first.join(roots, "node", "left").select(
         "set_id", F.coalesce("root", "node").alias("root")
     )
@@ -227,6 +237,108 @@ def classes(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def _block_links(mixed: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links that connect whatever links within a bucket of ``mixed`` connect."""
+    sizes = mixed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
+    block, other = F.col("block"), F.col("other")
+    rows = (
+        mixed.join(sizes, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("node", "bucket"), "blocks"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.struct("bucket", F.least(block, other).alias("i"), F.greatest(block, other).alias("j")).alias(
+                "pair"
+            ),
+            "node",
+            "root",
+            "block",
+        )
+        .join(known, "node")
+    )
+    flips = most_flips(percent)
+
+    def compare(rows: pa.Table) -> pa.Table:
+        found = block_links(
+            rows["node"].to_numpy(),
+            rows["root"].to_numpy(),
+            rows["block"].to_numpy(),
+            np.array(rows["sketch"].to_pylist(), np.int64),
+            [np.asarray(s.values) for s in rows["shingles"]],
+            percent,
+            flips,
+        )
+        return pa.table(
+            {"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())}
+        )
+
+    return rows.groupBy("pair").applyInArrow(compare, "a long, b long").distinct()
+
+
+def block_links(
+    nodes: np.ndarray,
+    roots: np.ndarray,
+    blocks: np.ndarray,
+    sketches: np.ndarray,
+    sets: list[np.ndarray],
+    percent: int,
+    flips: int,
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two blocks, or within one."""
+    one = blocks == blocks.min()
+    left = np.flatnonzero(one)
+    right = left if one.all() else np.flatnonzero(~one)
+    sketches = sketches.view(_U)  # of signed numbers numpy would count the bits of the size
+    apart = np.zeros((len(left), len(right)), np.int32)
+    for k in range(sketches.shape[1]):
+        apart += np.bitwise_count(sketches[left, None, k] ^ sketches[None, right, k])
+    sizes = np.array([len(s) for s in sets], np.int64)
+    most = np.maximum(sizes[left, None], sizes[None, right])
+    near = (apart <= flips) & (roots[left, None] != roots[None, right])
+    near &= 100 * np.minimum(sizes[left, None], sizes[None, right]) >= percent * most
+    if right is left:
+        near &= np.triu(np.ones_like(near), 1)
+    if not near.any():
+        return []
+    left, right, near = left[near.any(1)], right[near.any(0)], near[near.any(1)][:, near.any(0)]
+    both = common(sets, left, right)
+    linked = near & (
+        100 * both >= percent * (sizes[left, None] + sizes[None, right] - both)
+    )
+    group = {int(r): int(r) for r in roots}
+
+    def find(r: int) -> int:
+        while group[r] != r:
+            group[r] = r = group[group[r]]
+        return r
+
+    forest = []
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = find(int(roots[left[i]])), find(int(roots[right[j]]))
+        if a != b:
+            group[a] = b
+            forest.append(tuple(sorted((int(nodes[left[i]]), int(nodes[right[j]])))))
+    return forest
+
+
+def common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The sizes of all intersections, from the shingles that stand on both sides."""
+    flat = [np.concatenate([sets[i] for i in side]) for side in (left, right)]
+    owner = [np.repeat(np.arange(len(s)), [len(sets[i]) for i in s]) for s in (left, right)]
+    shared = np.intersect1d(*flat)
+    places = [np.searchsorted(shared, f) for f in flat]
+    both = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, len(shared), CHUNK_COLUMNS):
+        has = []
+        for f, o, p, side in zip(flat, owner, places, (left, right), strict=True):
+            inside = (p >= at) & (p < min(at + CHUNK_COLUMNS, len(shared)))
+            inside[inside] = shared[p[inside]] == f[inside]
+            matrix = np.zeros((len(side), CHUNK_COLUMNS), np.float32)
+            matrix[o[inside], p[inside] - at] = 1
+            has.append(matrix)
+        both += (has[0] @ has[1].T).astype(np.int64)
+    return both
+
+
 def _full_sets(df: DataFrame, known: DataFrame) -> DataFrame:
     """``node, shingles`` of the known nodes, from their texts."""
     bodies = _keyed(df).join(known.select("key", "node"), "key").select("node", "text")

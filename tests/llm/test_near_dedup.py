@@ -86,6 +86,44 @@ def test_one_row_of_each_group_stays(spark, edge_docs):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter([1, 2, 3, 4, 5, 8, 9, None])
 
 
+def test_blocks_give_the_same_groups(spark, monkeypatch):
+    """Near copies around the threshold, with blocks of three and chunks of five columns."""
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(near_dedup, "CHUNK_COLUMNS", 5)
+    monkeypatch.setattr(linking, "ROUNDS", 1)
+    rows = made_up(n=90, seed=9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_force(rows)
+    assert len({c for *_, c in expected}) > 40
+    assert Counter(map(tuple, near_dedup.classes(docs).collect())) == expected
+
+
+def test_block_links_connect_what_links_connect():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 62, 200)
+    sets = []
+    for _ in range(40):
+        keep = base.copy()
+        keep[rng.integers(0, 200, rng.integers(0, 40))] = rng.integers(0, 1 << 62, 1)
+        sets.append(np.unique(keep))
+    sketches = np.array([near_dedup.odd_sketch(near_dedup.minhashes(s.view(np.uint64))) for s in sets])
+    ids = np.arange(40)
+    found = near_dedup.block_links(ids, ids, ids % 2, sketches, sets, 85, near_dedup.most_flips())
+    true = [
+        (i, j) for i in ids for j in ids[i + 1 :] if (i + j) % 2
+        and 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))
+    ]
+
+    def parts(edges):
+        group = list(range(40))
+        for a, b in edges:
+            group = [group[b] if g == group[a] else g for g in group]
+        return {frozenset(i for i in ids if group[i] == g) for g in group}
+
+    assert set(found) <= set(true) and len(found) < len(true)
+    assert parts(found) == parts(true)
+
+
 def test_chains_are_followed(spark):
     """Groups equal those of all bucket pairs, whatever links hold: a path through one bucket."""
     members = linking.checkpointed(
