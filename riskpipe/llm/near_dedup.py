@@ -45,7 +45,7 @@ SKETCH_BITS = 1024
 CACHED_WORDS = 300_000
 CHUNK_SHINGLES = 1024
 #: Members of a block, about; and shingles whose common use is counted at once.
-BLOCK_ROWS = 192
+BLOCK_ROWS = 1024
 CHUNK_COLUMNS = 4096
 
 _U = np.uint64
