@@ -2,12 +2,13 @@
 
 A document is the set of its five-word shingles, in lower case (A to Z only); with fewer words, its
 whole sequence of words is the one shingle. Documents are linked if the similarity of their sets is
-at least ``PERCENT`` hundredths; groups are the components of the links.
+at least ``PERCENT`` hundredths, or as many as the caller asks for, from ``LEAST_PERCENT`` on; groups
+are the components of the links.
 
-1. One pass makes, for every text, 352 MinHash samples, their 44 band keys, and an odd sketch: every
-   sample flips one of 1,024 bits. Equal sets are found by a 128-bit digest and become one node.
-2. Nodes that share a band are candidates (``linking``). A pair at the threshold shares none of its
-   bands once in a million; the hubs of a group give it further chances.
+1. One pass makes, for every text, MinHash samples (352 at 85 hundredths), their band keys (44), and an
+   odd sketch: every sample flips one of 1,024 bits. Equal sets are found by a 128-bit digest and become one node.
+2. Nodes that share a band are candidates (``linking``). Bands are laid out for the threshold: a pair
+   at it shares none of its bands once in a million (``MISSED``); the hubs of a group give it further chances.
 3. The XOR of two odd sketches has as many bits as the samples' symmetric difference, but for
    collisions, which the estimate takes off. Candidates whose count is beyond that of a pair at the
    threshold by six standard deviations are dropped.
@@ -38,8 +39,10 @@ from riskpipe.llm.shared import checkpointed, map_columns, texts
 
 SHINGLE_WORDS = 5
 PERCENT = 85
-BANDS, BAND_ROWS = 44, 8
-SAMPLES = BANDS * BAND_ROWS
+LEAST_PERCENT = 80
+#: Samples of a band for thresholds from ``PERCENT`` on, and below; pairs at the threshold that no band finds.
+BAND_ROWS, WIDE_BAND_ROWS = 8, 7
+MISSED = 1e-6
 SKETCH_BITS = 1024
 #: Words a Python worker remembers the hashes of.
 CACHED_WORDS = 300_000
@@ -61,18 +64,31 @@ class _WordHashes(dict):
         return value
 
 
+def layout(percent: int = PERCENT) -> tuple[int, int]:
+    """Bands, and samples of each, that find a pair at the threshold; all of ``PERCENT`` and more share one."""
+    rows = BAND_ROWS if percent >= PERCENT else WIDE_BAND_ROWS
+    found = (min(percent, PERCENT) / 100) ** rows
+    return math.ceil(math.log(MISSED) / math.log(1 - found)), rows
+
+
+def n_samples(percent: int = PERCENT) -> int:
+    bands, rows = layout(percent)
+    return bands * rows
+
+
 @functools.cache
-def _constants() -> dict[str, np.ndarray]:
+def _constants(percent: int = PERCENT) -> dict[str, np.ndarray]:
+    bands, rows = layout(percent)
     rng = np.random.default_rng(85)
     draw = lambda n: rng.integers(0, 1 << 63, n, np.uint64) * _U(2) + _U(1)
     return {
         "places": draw(SHINGLE_WORDS),
         "lengths": draw(SHINGLE_WORDS + 1),
-        "times": draw(SAMPLES),
-        "plus": draw(SAMPLES),
-        "rows": draw(BAND_ROWS),
-        "bands": draw(BANDS),
-        "flips": draw(SAMPLES),
+        "times": draw(bands * rows),
+        "plus": draw(bands * rows),
+        "rows": draw(rows),
+        "bands": draw(bands),
+        "flips": draw(bands * rows),
     }
 
 
@@ -100,44 +116,44 @@ def shingle_set(text: str) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
-def minhashes(shingles: np.ndarray) -> np.ndarray:
-    fixed = _constants()
-    least = np.full(SAMPLES, np.iinfo(_U).max, _U)
+def minhashes(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    fixed = _constants(percent)
+    least = np.full(n_samples(percent), np.iinfo(_U).max, _U)
     for at in range(0, len(shingles), CHUNK_SHINGLES):
         part = shingles[at : at + CHUNK_SHINGLES, None] * fixed["times"] + fixed["plus"]
         np.minimum(least, part.min(axis=0), out=least)
     return least
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    fixed = _constants()
-    keys = (samples.reshape(BANDS, BAND_ROWS) * fixed["rows"]).sum(axis=1, dtype=_U)
+def band_keys(samples: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    fixed = _constants(percent)
+    keys = (samples.reshape(layout(percent)) * fixed["rows"]).sum(axis=1, dtype=_U)
     return _mixed(keys + fixed["bands"]).view(np.int64)
 
 
-def odd_sketch(samples: np.ndarray) -> np.ndarray:
+def odd_sketch(samples: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Bits that an odd number of samples falls on, as longs."""
-    places = _mixed(samples + _constants()["flips"]) >> _U(64 - int(math.log2(SKETCH_BITS)))
+    places = _mixed(samples + _constants(percent)["flips"]) >> _U(64 - int(math.log2(SKETCH_BITS)))
     odd = np.bincount(places.astype(np.int64), minlength=SKETCH_BITS) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def most_flips(percent: int = PERCENT) -> int:
     """Bits of an XOR of sketches beyond which a pair is less like than ``percent`` hundredths."""
-    unlike = 1 - percent / 100
-    apart = 2 * SAMPLES * unlike
+    unlike, samples = 1 - percent / 100, n_samples(percent)
+    apart = 2 * samples * unlike
     slope = math.exp(-2 * apart / SKETCH_BITS)
     expected = SKETCH_BITS / 2 * (1 - slope)
-    variance = (slope * 2) ** 2 * SAMPLES * unlike * (1 - unlike) + expected
+    variance = (slope * 2) ** 2 * samples * unlike * (1 - unlike) + expected
     return math.ceil(expected + 6 * math.sqrt(variance))
 
 
 def estimated(flips: int) -> float:
-    """The similarity that a count of differing sketch bits stands for."""
-    return 1 + SKETCH_BITS / (4 * SAMPLES) * math.log(1 - 2 * flips / SKETCH_BITS)
+    """The similarity that a count of differing bits stands for, of sketches laid out for ``PERCENT``."""
+    return 1 + SKETCH_BITS / (4 * n_samples()) * math.log(1 - 2 * flips / SKETCH_BITS)
 
 
-def signatures(df: DataFrame) -> DataFrame:
+def signatures(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``key`` (doc_id and a hash of the text), ``n_shingles, set_id, bands, sketch`` of every row."""
 
     def rows(keys: list, bodies: list[str]) -> list[tuple]:
@@ -147,9 +163,10 @@ def signatures(df: DataFrame) -> DataFrame:
             if not len(shingles):
                 done.append((key, 0, None, None, None))
                 continue
-            samples = minhashes(shingles)
+            samples = minhashes(shingles, percent)
             digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).hexdigest()
-            done.append((key, len(shingles), digest, band_keys(samples), odd_sketch(samples)))
+            bands, sketch = band_keys(samples, percent), odd_sketch(samples, percent)
+            done.append((key, len(shingles), digest, bands, sketch))
         return done
 
     return map_columns(
@@ -175,11 +192,11 @@ def _flips(one: Column, other: Column) -> Column:
 def _rooted(df: DataFrame, percent: int) -> DataFrame:
     """``key, n_shingles`` of every row, and the ``root`` of its group, null without shingles.
 
-    ``percent`` may be 85 or more: the bands are laid out for that threshold.
+    ``percent`` may be ``LEAST_PERCENT`` or more: the bands are laid out for it.
     """
-    if not PERCENT <= percent <= 100:
-        raise ValueError(f"the bands find similarities from {PERCENT} hundredths on")
-    signed = checkpointed(signatures(df).withColumn("row", F.monotonically_increasing_id()))
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"the bands find similarities from {LEAST_PERCENT} hundredths on")
+    signed = checkpointed(signatures(df, percent).withColumn("row", F.monotonically_increasing_id()))
     first = signed.filter("n_shingles > 0").groupBy("set_id").agg(F.min("row").alias("node"))
     nodes = signed.join(first.select(F.col("node").alias("row")), "row", "left_semi")
     members = checkpointed(

@@ -59,6 +59,22 @@ def test_made_up_documents(spark, seed):
     assert Counter(map(tuple, got)) == brute_force(rows)
 
 
+@pytest.mark.parametrize("percent", [80, 83])
+def test_a_lower_threshold(spark, percent):
+    rows = made_up(seed=5)
+    expected = brute_force(rows, percent)
+    assert expected != brute_force(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, near_dedup.classes(docs, percent).collect())) == expected
+
+
+def test_bands_are_laid_out_for_the_threshold():
+    assert near_dedup.layout() == near_dedup.layout(100) == (44, 8)
+    for percent in range(near_dedup.LEAST_PERCENT, near_dedup.PERCENT + 1):
+        bands, rows = near_dedup.layout(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= near_dedup.MISSED
+
+
 def test_edge_rows(edge_docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
     got = near_dedup.near_duplicates(edge_docs).collect()
