@@ -44,7 +44,7 @@ def op5_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+    return line_dedup.line_report(table(spark, sf_dir, "documents"), wide=True)
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
