@@ -69,7 +69,81 @@ SELECT split.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles,
 FROM split LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
+COLLOCATIONS_SQL = r"""
+WITH split AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc,
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]') AS ps
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(ps) AS p FROM split
+), words AS (
+  SELECT lang, [w FOR w IN string_split_regex(p, '[\x20\x09]+') IF w <> ''] AS ws FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang
+), starts AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, list_slice(ws, i, i + size - 1) AS g
+  FROM starts, unnest([1, 2, 3, 4]) AS s(size) WHERE i + size - 1 <= len(ws)
+), f AS (
+  SELECT lang, g, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30
+), cuts AS (
+  SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1
+), scored AS (
+  SELECT c.lang, c.g, c.a, c.k, l.f AS l, r.f AS r, 2000000 * c.a // (l.f + r.f) AS score
+  FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.g = list_slice(c.g, 1, c.k)
+  JOIN f r ON r.lang = c.lang AND r.g = list_slice(c.g, c.k + 1, len(c.g))
+), least AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), inner_ AS (
+  SELECT lang, list_slice(g, i, i + size - 1) AS g, max(f) AS around
+  FROM f, unnest([2, 3]) AS s(size), unnest([1, 2, 3]) AS t(i)
+  WHERE size < len(g) AND i + size - 1 <= len(g) GROUP BY ALL
+), free AS (
+  SELECT least.*, array_to_string(g, ' ') AS phrase FROM least LEFT JOIN inner_ USING (lang, g)
+  WHERE around IS NULL OR 100 * around < 80 * a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+NEGATIVES_SQL = r"""
+WITH finite AS (
+  SELECT row_number() OVER () AS row_, vec_id, label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(embedding) = len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)])
+), base AS (
+  SELECT row_, vec_id, v,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM finite
+), scores AS (
+  SELECT a.row_ AS row_, a.vec_id AS anchor_id, b.row_ AS other, b.vec_id AS vec_id, a.label = b.label AS same,
+    CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.v, b.v)]) AS BIGINT) AS score
+  FROM base a, base b WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT row_, anchor_id, other, vec_id AS positive_id, score AS positive_score FROM scores
+  WHERE same AND other <> row_
+  QUALIFY row_number() OVER (PARTITION BY row_ ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.row_, p.other ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scores s ON s.row_ = p.row_
+  WHERE NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": RULES_SQL,
     "op7_near_dedup": NEAR_SQL,
+    "op12_collocations": COLLOCATIONS_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
 }

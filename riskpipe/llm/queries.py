@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskpipe.llm import (
     byte_bpe,
+    collocations,
     fingerprints,
+    hard_negatives,
     html_text,
     line_dedup,
     near_dedup,
@@ -18,6 +20,7 @@ from riskpipe.llm import (
     pu_quality,
     quality_rules,
     toxicity,
+    word_table,
 )
 from riskpipe.llm.shared import table
 
@@ -64,6 +67,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
+def op11_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(word_table.TOKENIZER)
+    return word_table.token_digests(table(spark, sf_dir, "documents"), path)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.from_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_packing": op2_packing,
@@ -75,4 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
+    "op11_word_table": op11_word_table,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
