@@ -5,10 +5,12 @@ blank-separated words in turn.
 
 1. One pass splits texts into words and makes chunks: the documents that a task meets in turn, up to
    ``CHUNK_WORDS`` words. A chunk holds its distinct words, the more frequent first, and for every
-   document the numbers of its words in that list. It is written once, so both uses below see the same.
-2. The (word, chunk, number) rows are shuffled by word and sorted, so that equal words follow each
-   other: each distinct word of the table is encoded once, and its ids go back to all its places. No
-   word has more rows than there are chunks, however often it stands in the texts.
+   document the numbers of its words in that list. It is written once, so all uses below see the same,
+   bucketed by chunk, so that the numbers are never shuffled.
+2. Words are dealt into shares by a hash, as many shares as there are ``SHARE_BYTES`` of text. A share is
+   one group of a task: the words that any chunk has in it, and where. Each distinct word is encoded
+   once, and its ids go back to all its places, by chunk. A share holds no word more often than there
+   are chunks, however often it stands in the texts.
 3. The ids are joined back by chunk and number, and the numbers of a document make its ids in order.
 4. Decoding joins ids to the pieces of the vocabulary (``pieces``, a table as long as the vocabulary),
    keyed by id, and joins the pieces of a document by a blank, as the library does for a model without
@@ -21,11 +23,11 @@ columns have no part in it. A word that the tokenizer drops whole has no ids.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructField, StructType
 from tokenizers import Tokenizer
+from xxhash import xxh3_64_intdigest
 
 from riskpipe.llm.packing import TOKENIZER, WordIds
 from riskpipe.llm.shared import checkpointed, texts, workspace
@@ -41,8 +44,9 @@ __all__ = ["TOKENIZER", "decoded", "encoded", "round_trip", "token_digests"]
 
 #: Words of a chunk, and bytes of its texts, that close it; one text is never cut.
 CHUNK_WORDS, CHUNK_BYTES = 1 << 22, 1 << 25
-#: Words whose ids leave a task together, and documents whose ids are put together at once.
-SENT_WORDS, SLICE_DOCS = 1 << 17, 128
+#: Bytes of text for each share of the words, the least number of shares, and documents whose ids are
+#: put together at once.
+SHARE_BYTES, LEAST_SHARES, SLICE_DOCS = 1 << 24, 64, 128
 
 
 # ---------------------------------------------------------------- numbers as bytes
@@ -87,35 +91,46 @@ class _Chunk:
         self.words += len(found)
         self.bytes += len(data)
 
-    def row(self, name: int) -> tuple:
-        """(name, keys, lengths, numbers, words), words by falling frequency, then alphabetically."""
-        body = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
-        words = list(self.numbers)
-        counts = np.bincount(body, minlength=len(words))
-        order = sorted(range(len(words)), key=words.__getitem__)
-        order = np.array(order, np.int64)[np.argsort(-counts[order], kind="stable")]
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words))
-        return name, self.keys, self.lengths, squeezed(place[body]), [words[i].decode() for i in order]
-
-
-def chunks(df: DataFrame) -> DataFrame:
-    """``chunk``, its documents' ``keys`` and ``lengths``, the ``body`` of word numbers and the ``words``."""
+    def row(self, name: int, shares: int) -> tuple:
+        """(name, keys, lengths, numbers, shares of words); numbers go by falling frequency, then spelling."""
+        body = np.concatenate(self.parts)
+        words = sorted(self.numbers)
+        old = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        counts = np.bincount(body, minlength=len(words))[old]
+        order = np.argsort(-counts, kind="stable")
+        number = np.empty(len(words), np.int64)
+        number[old[order]] = np.arange(len(words))
+        words = [words[i] for i in order.tolist()]
+        return name, self.keys, self.lengths, squeezed(number[body]), list(_shared_out(words, shares))
+
+
+def _shared_out(words: list[bytes], shares: int) -> Iterator[dict]:
+    """The words of every share, by number, and the steps from number to number."""
+    share = np.fromiter((xxh3_64_intdigest(w) % shares for w in words), np.int64, len(words))
+    order = np.argsort(share, kind="stable")
+    for some in np.split(order, np.flatnonzero(np.diff(share[order])) + 1) if len(words) else ():
+        listed = zstandard.ZstdCompressor(level=3).compress(b"\n".join([words[i] for i in some.tolist()]))
+        yield {"share": int(share[some[0]]), "steps": squeezed(np.diff(some, prepend=0)), "words": listed}
+
+
+def chunks(df: DataFrame, shares: int) -> DataFrame:
+    """``chunk``, its documents' ``keys`` and ``lengths``, the ``body`` of word numbers and the words' ``shares``."""
     rows = texts(df)
-    kept = rows.schema["doc_id"].dataType
     schema = StructType(
         [
             *StructType.fromDDL("chunk long"),
-            StructField("keys", ArrayType(kept)),
-            *StructType.fromDDL("lengths array<int>, body binary, words array<string>"),
+            StructField("keys", ArrayType(rows.schema["doc_id"].dataType)),
+            *StructType.fromDDL(
+                "lengths array<int>, body binary, shares array<struct<share: int, steps: binary, words: binary>>"
+            ),
         ]
     )
     target = to_arrow_schema(schema)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(chunk: _Chunk) -> pa.RecordBatch:
-            name = (TaskContext.get().partitionId() << 32) + done
-            columns = [pa.array([value], f.type) for value, f in zip(chunk.row(name), target, strict=True)]
+            row = chunk.row((TaskContext.get().partitionId() << 32) + done, shares)
+            columns = [pa.array([value], f.type) for value, f in zip(row, target, strict=True)]
             return pa.RecordBatch.from_arrays(columns, schema=target)
 
         chunk, done = _Chunk(), 0
@@ -140,50 +155,22 @@ def _word_ids(tokenizer: str) -> WordIds:
 
 
 def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
-    """Parts of chunks' ids from ``word, chunk, number`` rows, equal words next to each other.
+    """``chunk, steps, ids`` from the ``chunk, share, steps, words`` of chunks.
 
-    A part is ``chunk`` and ``ids``: the count of its words, their numbers, how many ids each has, and
-    the ids, in one squeezed array.
+    ``ids`` has how many ids each word has, then the ids, squeezed; the words are those of ``steps``.
     """
 
-    def send(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        chunk, number, length, ids = (np.concatenate(c) for c in zip(*rows, strict=True))
-        starts = np.cumsum(length) - length
-        order = np.argsort(chunk, kind="stable")
-        cuts = np.flatnonzero(np.diff(chunk[order])) + 1
-        names, parts = [], []
-        for some in np.split(order, cuts):
-            n = length[some]
-            flat = ids[ranges(starts[some], n)]
-            names.append(int(chunk[some[0]]))
-            parts.append(squeezed(np.concatenate([[len(some)], number[some], n, flat])))
-        return pa.RecordBatch.from_pydict({"chunk": pa.array(names, pa.int64()), "ids": pa.array(parts, pa.binary())})
+    def encode(share: pa.Table) -> pa.Table:
+        known, seen, parts = _word_ids(tokenizer), {}, []
+        for data in share["words"].to_pylist():
+            listed = zstandard.ZstdDecompressor().decompress(data).split(b"\n")
+            for word in set(listed).difference(seen):
+                seen[word] = np.frombuffer(known[word], "<u4")
+            found = [seen[word] for word in listed]
+            parts.append(squeezed(np.concatenate([[len(ids) for ids in found], *found])))
+        return pa.table({"chunk": share["chunk"], "steps": share["steps"], "ids": pa.array(parts, pa.binary())})
 
-    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, last_ids = _word_ids(tokenizer), None, None
-        waiting, size = [], 0
-        for part in source:
-            if not part.num_rows:
-                continue
-            runs = pc.run_end_encode(part["word"])
-            lengths = np.diff(runs.run_ends.to_numpy(), prepend=0)
-            found = []
-            for word in runs.values.to_pylist():
-                if word != last:
-                    last, last_ids = word, np.frombuffer(known[word.encode()], "<u4")
-                found.append(last_ids)
-            per_word = np.repeat(np.array([len(i) for i in found], np.int64), lengths)
-            at = np.cumsum([len(i) for i in found]) - [len(i) for i in found]
-            ids = np.concatenate(found)[ranges(np.repeat(at, lengths), per_word)]
-            waiting.append((part["chunk"].to_numpy(), part["number"].to_numpy(), per_word, ids))
-            size += part.num_rows
-            if size >= SENT_WORDS:
-                yield send(waiting)
-                waiting, size = [], 0
-        if waiting:
-            yield send(waiting)
-
-    return words.mapInArrow(batches, "chunk long, ids binary")
+    return words.groupBy("share").applyInArrow(encode, "chunk long, steps binary, ids binary")
 
 
 @functools.cache
@@ -203,13 +190,13 @@ def joined_pieces(ids: np.ndarray, tokenizer: str) -> bytes:
 
 def _documents(bodies: pa.Table, parts: pa.Table) -> Iterator[tuple[object, np.ndarray]]:
     """The key and the ids of every document of a chunk."""
+    numbers = [np.cumsum(unsqueezed(data)) for data in parts["steps"].to_pylist()]
     found = [unsqueezed(data) for data in parts["ids"].to_pylist()]
-    numbers = [f[1 : 1 + f[0]] for f in found]
-    counts = [f[1 + f[0] : 1 + 2 * f[0]] for f in found]
-    flat = np.concatenate([f[1 + 2 * f[0] :] for f in found]) if found else np.zeros(0, np.int64)
+    flat = np.concatenate([f[len(n) :] for n, f in zip(numbers, found, strict=True)] or [np.zeros(0, np.int64)])
     starts, lengths = (np.zeros(sum(map(len, numbers)), np.int64) for _ in range(2))
     if found:
-        place, many = np.concatenate(numbers), np.concatenate(counts)
+        place = np.concatenate(numbers)
+        many = np.concatenate([f[: len(n)] for n, f in zip(numbers, found, strict=True)])
         lengths[place] = many
         starts[place] = np.cumsum(many) - many
     for row in bodies.to_pylist():
@@ -229,13 +216,19 @@ def _documents(bodies: pa.Table, parts: pa.Table) -> Iterator[tuple[object, np.n
 
 def _assembled(df: DataFrame, tokenizer: str, folder: str, decode: bool) -> DataFrame:
     spark = df.sparkSession
-    chunks(df).write.option("compression", "zstd").parquet(f"{folder}/chunks")
-    table = spark.read.parquet(f"{folder}/chunks")
-    words = (
-        table.select("chunk", F.posexplode("words").alias("number", "word"))
-        .repartition("word")
-        .sortWithinPartitions("word")
+    size = texts(df).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shares = max(LEAST_SHARES, size // SHARE_BYTES)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"chunks_{uuid.uuid4().hex}"
+    (
+        chunks(df, shares)
+        .write.option("compression", "zstd")
+        .option("path", f"{folder}/chunks")
+        .bucketBy(buckets, "chunk")
+        .saveAsTable(name)
     )
+    table = spark.table(name)
+    words = table.select("chunk", F.inline("shares"))
     key = table.schema["keys"].dataType.elementType
     schema = StructType([StructField("doc_id", key), *StructType.fromDDL("ids binary")])
     if decode:
@@ -251,11 +244,13 @@ def _assembled(df: DataFrame, tokenizer: str, folder: str, decode: bool) -> Data
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
     bodies = table.select("chunk", "keys", "lengths", "body")
-    return (
+    done = (
         bodies.groupBy("chunk")
         .cogroup(word_ids(words, tokenizer).groupBy("chunk"))
         .applyInArrow(assemble, schema)
     )
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files are the folder's
+    return done
 
 
 # ---------------------------------------------------------------- interface

@@ -4,6 +4,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from riskpipe.llm import word_table
@@ -33,7 +35,7 @@ def test_digests_equal_the_library(request, which):
 
 def test_small_chunks_and_parts_change_nothing(spark, documents, monkeypatch):
     # two partitions, many chunks a task: chunk names, numbers and slices must still fit together
-    for name, value in (("CHUNK_WORDS", 500), ("SENT_WORDS", 64), ("SLICE_DOCS", 2)):
+    for name, value in (("CHUNK_WORDS", 500), ("LEAST_SHARES", 3), ("SLICE_DOCS", 2)):
         monkeypatch.setattr(word_table, name, value)
     some = documents.filter("doc_id < 60")
     with workspace(spark) as folder:
@@ -44,18 +46,30 @@ def test_small_chunks_and_parts_change_nothing(spark, documents, monkeypatch):
     }
 
 
-def test_each_distinct_word_is_encoded_once(spark):
-    words = spark.createDataFrame(
-        [(w, c, n) for c in range(5) for n, w in enumerate(["b", "a", "a,b", "c"])], "word string, chunk long, number int"
-    ).repartition(3, "word").sortWithinPartitions("word")
-    parts = word_table.word_ids(words, WORDS).collect()
-    seen = Counter()
-    for part in parts:
-        numbers = word_table.unsqueezed(part["ids"])
-        n = int(numbers[0])
-        seen.update((part["chunk"], int(k)) for k in numbers[1 : n + 1])
-        assert len(numbers) == 1 + 2 * n + numbers[n + 1 : 2 * n + 1].sum()
-    assert seen == Counter({(c, n): 1 for c in range(5) for n in range(4)})
+def test_shares_hold_every_word_once_and_come_back_in_place(spark, documents, monkeypatch):
+    monkeypatch.setattr(word_table, "CHUNK_WORDS", 2000)
+    table = word_table.chunks(documents.filter("doc_id < 40"), 7).cache()
+    words = table.select("chunk", F.inline("shares"))
+    back = {(r["chunk"], r["steps"], r["ids"]) for r in word_table.word_ids(words, WORDS).collect()}
+    sent = words.collect()
+    seen = {}
+    for row in sent:
+        listed = zstandard.ZstdDecompressor().decompress(row["words"]).decode().split("\n")
+        assert all(seen.setdefault(w, row["share"]) == row["share"] for w in listed)
+        ids = [LIBRARY.encode(w, add_special_tokens=False).ids for w in listed]
+        flat = [*map(len, ids), *(i for some in ids for i in some)]
+        assert any(
+            (chunk, steps) == (row["chunk"], row["steps"]) and word_table.unsqueezed(found).tolist() == flat
+            for chunk, steps, found in back
+        )
+    for chunk in table.select("chunk", "lengths", "body").collect():
+        numbers = np.concatenate(
+            [np.cumsum(word_table.unsqueezed(r["steps"])) for r in sent if r["chunk"] == chunk["chunk"]]
+        )
+        assert sorted(numbers) == list(range(len(numbers)))
+        body = word_table.unsqueezed(chunk["body"])
+        assert len(body) == sum(chunk["lengths"]) and set(body) == set(numbers)
+        assert (np.diff(np.bincount(body)) <= 0).all()  # the more frequent first
 
 
 def test_decoding_any_ids(spark):
