@@ -53,8 +53,8 @@ TILE = 1 << TILE_POWER
 #: A tile with so many pairs in a buffer is counted by direct address.
 DENSE = TILE * TILE >> 4
 SIEVE_BITS = 1 << 24
-#: Distinct words, ids and phrases that a task holds before it hands them on.
-HELD_WORDS, HELD_IDS, HELD_GRAMS = 1 << 20, 1 << 18, 1 << 22
+#: Distinct words, ids and phrases that a task holds before it hands them on, and rows of a batch.
+HELD_WORDS, HELD_IDS, HELD_GRAMS, SENT_ROWS = 1 << 18, 1 << 18, 1 << 20, 1 << 16
 BREAK = -1
 UNKNOWN = "und"
 
@@ -329,14 +329,18 @@ def gram_counts(runs: DataFrame, size: int, head: Head | None, limit: int = HEAD
     """``code`` or ``words``, and ``n``: partial counts of the phrases of ``size`` ids."""
 
     def emit(codes: list[np.ndarray], rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        names_ = ["code", "words", "n"]
         found, n = tile_counts(np.concatenate(codes))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(found), pa.nulls(len(found), pa.list_(pa.int64())), pa.array(n)], ["code", "words", "n"]
-        )
+        for at in range(0, len(found), SENT_ROWS):
+            some = pa.array(found[at : at + SENT_ROWS])
+            none = pa.nulls(len(some), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([some, none, pa.array(n[at : at + SENT_ROWS])], names_)
         words, n = coordinate_counts(np.concatenate(rows))
-        if len(words):
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(words.reshape(-1)), size).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(words), pa.int64()), lists, pa.array(n)], ["code", "words", "n"])
+        for at in range(0, len(words), SENT_ROWS):
+            some = words[at : at + SENT_ROWS]
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(some.reshape(-1)), size).cast(pa.list_(pa.int64()))
+            none = pa.nulls(len(some), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, lists, pa.array(n[at : at + SENT_ROWS])], names_)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, rows, held = [], [], 0
@@ -387,20 +391,15 @@ class Counts:
         every = every.filter("word is not null")
         frequent = every.filter(F.col("n") >= least)
         floor = max(least, head_floor(frequent, head))
-        first = sorted(
-            frequent.filter(F.col("n") >= floor).collect(), key=lambda r: (-r["n"], r["lang"], r["word"].encode())
-        )
+        order = [("n", "descending"), ("lang", "ascending"), ("word", "ascending")]
+        first = frequent.filter(F.col("n") >= floor).toArrow().sort_by(order)  # at most HEAD rows
         ranks: dict[str, dict[bytes, int]] = {}
-        for rank, row in enumerate(first):
-            ranks.setdefault(row["lang"], {})[row["word"].encode()] = rank
-        table = pa.table(
-            {
-                "id": pa.array(range(len(first)), pa.int64()),
-                **{c: pa.array([r[c] for r in first], t) for c, t in (("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()))},
-            }
-        )
+        pairs = zip(first["lang"].to_pylist(), first["word"].cast("binary").to_pylist(), strict=True)
+        for rank, (lang, word) in enumerate(pairs):
+            ranks.setdefault(lang, {})[word] = rank
+        table = first.append_column("id", pa.array(np.arange(len(first))))
         self.head_words = self._staged(
-            "head", self.spark.createDataFrame(table, "id long, lang string, word string, n long")
+            "head", self.spark.createDataFrame(table, "lang string, word string, n long, id long")
         )
         tail = frequent.filter(F.col("n") < floor)
         rare = None
