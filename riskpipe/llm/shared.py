@@ -59,6 +59,16 @@ def workspace(spark: SparkSession) -> Iterator[str]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def slices(source: Iterator[pa.RecordBatch]) -> Iterator[list[list]]:
+    """The columns of batches as Python lists, ``SLICE_ROWS`` rows at a time.
+
+    A batch may hold thousands of texts; as Python strings they take several times its memory.
+    """
+    for batch in source:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield [column.to_pylist() for column in batch.slice(start, SLICE_ROWS).columns]
+
+
 def map_columns(
     df: DataFrame, function: Callable[..., list[tuple]], keep: str, more: str
 ) -> DataFrame:

@@ -23,8 +23,10 @@ columns have no part in it. A word that the tokenizer drops whole has no ids.
 from __future__ import annotations
 
 import functools
+import os
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +39,8 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from tokenizers import Tokenizer
 from xxhash import xxh3_64_intdigest
 
-from riskpipe.llm.packing import TOKENIZER, WordIds
-from riskpipe.llm.shared import checkpointed, texts, workspace
+from riskpipe.llm.packing import TOKENIZER
+from riskpipe.llm.shared import checkpointed, slices, texts, workspace
 
 __all__ = ["TOKENIZER", "decoded", "encoded", "round_trip", "token_digests"]
 
@@ -46,7 +48,9 @@ __all__ = ["TOKENIZER", "decoded", "encoded", "round_trip", "token_digests"]
 CHUNK_WORDS, CHUNK_BYTES = 1 << 22, 1 << 25
 #: Bytes of text for each share of the words, the least number of shares, and documents whose ids are
 #: put together at once.
-SHARE_BYTES, LEAST_SHARES, SLICE_DOCS = 1 << 24, 64, 128
+SHARE_BYTES, LEAST_SHARES, SLICE_DOCS = 1 << 23, 64, 128
+#: Words that the library encodes at once.
+SLICE_WORDS = 1 << 12
 
 
 # ---------------------------------------------------------------- numbers as bytes
@@ -134,8 +138,8 @@ def chunks(df: DataFrame, shares: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, schema=target)
 
         chunk, done = _Chunk(), 0
-        for part in source:
-            for key, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
+        for keys, bodies in slices(source):
+            for key, text in zip(keys, bodies, strict=True):
                 chunk.add(key, text)
                 if chunk.words >= CHUNK_WORDS or chunk.bytes >= CHUNK_BYTES:
                     yield batch(chunk)
@@ -150,8 +154,17 @@ def chunks(df: DataFrame, shares: int) -> DataFrame:
 
 
 @functools.cache
-def _word_ids(tokenizer: str) -> WordIds:
-    return WordIds(tokenizer)
+def _coder(tokenizer: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return Tokenizer.from_file(tokenizer)
+
+
+def encoded_words(words: list[bytes], tokenizer: str) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Every word with its ids."""
+    for at in range(0, len(words), SLICE_WORDS):
+        some = words[at : at + SLICE_WORDS]
+        found = _coder(tokenizer).encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+        yield from zip(some, (np.array(one.ids, np.uint32) for one in found), strict=True)
 
 
 def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
@@ -161,11 +174,10 @@ def word_ids(words: DataFrame, tokenizer: str) -> DataFrame:
     """
 
     def encode(share: pa.Table) -> pa.Table:
-        known, seen, parts = _word_ids(tokenizer), {}, []
+        seen, parts = {}, []
         for data in share["words"].to_pylist():
             listed = zstandard.ZstdDecompressor().decompress(data).split(b"\n")
-            for word in set(listed).difference(seen):
-                seen[word] = np.frombuffer(known[word], "<u4")
+            seen.update(encoded_words(list(set(listed).difference(seen)), tokenizer))
             found = [seen[word] for word in listed]
             parts.append(squeezed(np.concatenate([[len(ids) for ids in found], *found])))
         return pa.table({"chunk": share["chunk"], "steps": share["steps"], "ids": pa.array(parts, pa.binary())})
@@ -236,12 +248,14 @@ def _assembled(df: DataFrame, tokenizer: str, folder: str, decode: bool) -> Data
     target = to_arrow_schema(schema)
 
     def assemble(bodies: pa.Table, parts: pa.Table) -> pa.Table:
-        rows = [
-            (key, ids.astype("<u4").tobytes(), *([joined_pieces(ids, tokenizer)] if decode else []))
-            for key, ids in _documents(bodies, parts)
-        ]
-        columns = list(zip(*rows, strict=True)) or [()] * len(target)
-        return pa.table([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+        batches, rows = [], _documents(bodies, parts)
+        while some := list(islice(rows, SLICE_DOCS)):
+            columns = [[key for key, _ in some], [ids.astype("<u4").tobytes() for _, ids in some]]
+            if decode:
+                columns.append([joined_pieces(ids, tokenizer) for _, ids in some])
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, target, strict=True)]
+            batches.append(pa.RecordBatch.from_arrays(arrays, schema=target))
+        return pa.Table.from_batches(batches, schema=target)
 
     bodies = table.select("chunk", "keys", "lengths", "body")
     done = (
