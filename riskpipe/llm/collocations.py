@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskpipe.llm.shared import checkpointed, workspace
+from riskpipe.llm.shared import checkpointed, slices, workspace
 
 LONGEST = 4
 LEAST = 30
@@ -91,8 +91,8 @@ def word_counts(df: DataFrame) -> DataFrame:
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}
-        for part in source:
-            for lang, text in zip(part["lang"].to_pylist(), part["text"].to_pylist(), strict=True):
+        for langs, bodies in slices(source):
+            for lang, text in zip(langs, bodies, strict=True):
                 counts.setdefault(lang, Counter()).update(tokens(text))
             if sum(map(len, counts.values())) >= HELD_WORDS:
                 yield emit(counts)
@@ -157,8 +157,8 @@ def id_runs(df: DataFrame, ranks: dict[str, dict[bytes, int]], rare: Callable |
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
-        for part in source:
-            for lang, text in zip(part["lang"].to_pylist(), part["text"].to_pylist(), strict=True):
+        for langs, bodies in slices(source):
+            for lang, text in zip(langs, bodies, strict=True):
                 found = tokens(text)
                 known = ranks.get(lang, {})
                 if rare:
