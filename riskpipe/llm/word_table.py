@@ -45,7 +45,7 @@ from riskpipe.llm.shared import checkpointed, slices, texts, workspace
 __all__ = ["TOKENIZER", "decoded", "encoded", "round_trip", "token_digests"]
 
 #: Words of a chunk, and bytes of its texts, that close it; one text is never cut.
-CHUNK_WORDS, CHUNK_BYTES = 1 << 22, 1 << 25
+CHUNK_WORDS, CHUNK_BYTES = 1 << 21, 1 << 24
 #: Bytes of text for each share of the words, the least number of shares, and documents whose ids are
 #: put together at once.
 SHARE_BYTES, LEAST_SHARES, SLICE_DOCS = 1 << 23, 64, 128
