@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskpipe.llm.shared import checkpointed, slices, workspace
+from riskpipe.llm.word_table import squeezed, unsqueezed
 
 LONGEST = 4
 LEAST = 30
@@ -152,8 +153,18 @@ def _unique_seed(tail: DataFrame) -> int:
     return seed
 
 
+def packed_ids(ids: np.ndarray) -> bytes:
+    """Longs, squeezed in halves: those of ranks are all alike."""
+    return squeezed(np.concatenate([ids & 0xFFFFFFFF, ids >> 32]))
+
+
+def unpacked_ids(data: bytes) -> np.ndarray:
+    low, high = unsqueezed(data).reshape(2, -1)
+    return high << 32 | low
+
+
 def id_runs(df: DataFrame, ranks: dict[str, dict[bytes, int]], rare: Callable | None) -> DataFrame:
-    """The texts as runs of ``ids`` (binary, longs), ``BREAK`` between pieces and for words without an id."""
+    """The texts as runs of ``ids`` (packed), ``BREAK`` between pieces and for words without an id."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, size = [], 0
@@ -175,7 +186,7 @@ def id_runs(df: DataFrame, ranks: dict[str, dict[bytes, int]], rare: Callable |
             yield _run(waiting)
 
     def _run(waiting: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"ids": pa.array([np.concatenate(waiting).tobytes()], pa.binary())})
+        return pa.RecordBatch.from_pydict({"ids": pa.array([packed_ids(np.concatenate(waiting))], pa.binary())})
 
     return _rows(df).mapInArrow(batches, "ids binary")
 
@@ -345,8 +356,8 @@ def gram_counts(runs: DataFrame, size: int, head: Head | None, limit: int = HEAD
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, rows, held = [], [], 0
         for part in source:
-            for data in part["ids"].to_pylist():
-                direct, other = grams(np.frombuffer(data, np.int64), size, head, limit)
+            for data in part["ids"]:
+                direct, other = grams(unpacked_ids(data.as_py()), size, head, limit)
                 codes.append(direct)
                 rows.append(other)
                 held += len(direct) + len(other) * size

@@ -82,6 +82,11 @@ def test_tiles_equal_plain_counting():
     assert dict(zip(map(tuple, rows.tolist()), n.tolist(), strict=True)) == Counter(map(tuple, pairs.tolist()))
 
 
+def test_packing_ids_is_a_round_trip():
+    ids = np.array([c.BREAK, 0, 5, c.HEAD - 1, 1 << 62, (1 << 63) - 1, c.BREAK])
+    assert (c.unpacked_ids(c.packed_ids(ids)) == ids).all()
+
+
 def test_head_tells_phrases_by_their_words():
     words = np.array([[1, 2], [2, 1], [1 << 62, 3]])
     head = c.Head(words, None)
