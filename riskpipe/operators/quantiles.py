@@ -57,6 +57,11 @@ def quantiles(
     return {name: found.get(f"c{i}", []) for i, name in enumerate(cols)}
 
 
+def quantile_rank(prob: float, rows: int) -> int:
+    """The rank, from 1, of the value that is a quantile of so many rows."""
+    return max(1, math.ceil(Decimal(repr(float(prob))) * rows))
+
+
 def quantile_table(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], error: float = 0.01
 ) -> DataFrame:
@@ -109,8 +114,8 @@ def _exact(df: DataFrame, probs: list[float], few_values: int) -> dict[str, list
     for name in df.columns:
         for prob in probs:
             if counted[name]:
-                rank = math.ceil(Decimal(repr(float(prob))) * counted[name])
-                searches[name, prob] = _Search(max(1, rank), _Span(name), 0, counted[name])
+                rank = quantile_rank(prob, counted[name])
+                searches[name, prob] = _Search(rank, _Span(name), 0, counted[name])
 
     few: dict[tuple[str, float], _Search] = {}
     while searches:

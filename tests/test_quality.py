@@ -17,6 +17,8 @@ from riskpipe.operators import (
     to_double,
     validate_schema,
 )
+from riskpipe.operators.quality import sequential_quartiles
+from riskpipe.operators.quantiles import quantiles
 from riskpipe.plans import clean, clean_all
 from riskpipe.plans.cleaning import REPORT_COLUMNS
 from riskpipe.sources import read_raw
@@ -103,6 +105,114 @@ def test_sequential_outliers_against_brute_force(spark):
     assert sorted(got) == sorted(rows)
 
 
+def chained(spark, n_columns, n_rows=400):
+    """Skewed columns, each made from the one before, so that every filter moves the next quartiles."""
+    rng = random.Random(n_columns)
+    rows = []
+    for _ in range(n_rows):
+        row = [rng.lognormvariate(0, 1)]
+        while len(row) < n_columns:
+            row.append(row[-1] * rng.lognormvariate(0, 0.6))
+        row[1] = None if rng.random() < 0.02 else row[1]
+        row[-1] = NAN if rng.random() < 0.02 else float(round(row[-1]))
+        rows.append(tuple(row))
+    names = [f"c {i}" for i in range(n_columns)]
+    return spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names)), names
+
+
+def kept_one_by_one(rows, n_columns):
+    for i in range(n_columns):
+        values = sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i])
+        if not values:
+            continue
+        q1, q3 = (values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.75))
+        if q3 > q1:
+            spread = 1.5 * (q3 - q1)
+            rows = [r for r in rows if r[i] is not None and q1 - spread <= r[i] <= q3 + spread]
+    return rows
+
+
+@pytest.mark.parametrize("n_columns", [3, 9])
+def test_speculative_bounds_equal_one_column_after_the_other(spark, n_columns):
+    df, names = chained(spark, n_columns)
+    rows = [tuple(r) for r in df.collect()]
+    expected = kept_one_by_one(rows, n_columns)
+    assert len(expected) < len(rows) - 50
+    assert sorted(map(repr, remove_outliers(df, names, error=0).collect())) == sorted(
+        map(repr, remove_outliers(df, names, error=0).collect())
+    )
+    assert sorted(map(tuple, remove_outliers(df, names, error=0).fillna(-1.0).collect())) == sorted(
+        tuple(-1.0 if v is None or v != v else v for v in r) for r in expected
+    )
+
+
+def jobs_of(spark, run):
+    group = f"counted-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("error", [0, 0.01])
+def test_sequential_outliers_take_few_jobs_however_many_columns(spark, error):
+    names = [f"v{i}" for i in range(23)]
+    df = spark.range(3000).selectExpr(
+        *[f"double(pmod(hash(id, {i}), {20 + i}) + IF(pmod(hash(id, {i}), 50) = 0, 500, 0)) AS {n}" for i, n in enumerate(names)]
+    ).cache()
+    df.count()
+    few = jobs_of(spark, lambda: remove_outliers(df, names[:4], error=error))
+    many = jobs_of(spark, lambda: remove_outliers(df, names, error=error))
+    one = jobs_of(spark, lambda: quantiles(df, names[:1], [0.25, 0.75], error))
+    print(one, few, many)
+    assert many < 23 * one / 2 if error == 0 else many < 23
+    df.unpersist()
+
+
+def test_bounds_within_the_error_are_accepted(spark):
+    df, names = chained(spark, 5, 3000)
+    found = sequential_quartiles(df, names, error=0.02)
+    rows = [tuple(r) for r in df.collect()]
+    for i, name in enumerate(names):
+        values = sorted(r[i] for r in rows if r[i] is not None and r[i] == r[i])
+        for p, q in zip((0.25, 0.75), found[name], strict=True):
+            # approxQuantile may miss by the error, and so may the guess that is then accepted
+            assert sum(v < q for v in values) <= (p + 0.04) * len(values) + 1
+            assert sum(v <= q for v in values) >= (p - 0.04) * len(values) - 1
+        bounds = outlier_bounds(found[name])
+        rows = [r for r in rows if r[i] is not None and bounds[0] <= r[i] <= bounds[1]]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 26])
+def test_repeated_rows_collapse_whatever_the_bitmap_tells(spark, bits):
+    df = spark.range(3000).selectExpr(
+        "id % 2500 AS a", "IF(id % 7 = 0, NULL, string(id % 2500)) AS `b c`", "array(id % 2500, NULL) AS __marks"
+    ).filter("a <> 11 OR `b c` IS NULL")
+    df = df.union(spark.sql("SELECT 1L, NULL, array(NULL, 1L)")).union(df.filter("a < 3"))
+    got = drop_duplicate_rows(df, bits)
+    assert got.columns == df.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, df.dropDuplicates().collect()))
+    assert drop_duplicate_rows(df.limit(0), bits).count() == 0
+
+
+def test_only_rows_that_may_repeat_are_shuffled_whole(spark, tmp_path):
+    spark.range(4000).selectExpr("id % 3990 AS a", "repeat(string(id % 3990), 40) AS wide").write.parquet(
+        str(tmp_path / "t")
+    )
+    df = drop_duplicate_rows(spark.read.parquet(str(tmp_path / "t")))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # of all groupings, those of digests and marks included, only the last holds the wide column
+    grouped = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert sum("wide" in line for line in grouped) == 1 < len(grouped)
+    assert df.count() == 3990
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_zeros_and_nans_are_equal_in_every_form(spark):
+    df = spark.sql("SELECT * FROM VALUES (0D, double('NaN')), (-0D, -double('NaN')), (0D, 1D) AS t(a, b)")
+    assert drop_duplicate_rows(df).count() == df.dropDuplicates().count() == 2
+
+
 def test_duplicates_count_nulls_and_nans_as_equal(spark):
     df = spark.createDataFrame([(None, NAN), (None, NAN), (1.0, 2.0)], "a double, b double")
     assert drop_duplicate_rows(df).count() == 2
