@@ -72,13 +72,21 @@ def read_stream(
     path: str,
     schema: StructType = RECORD_SCHEMA,
     max_files_per_trigger: int | None = 1,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Stream the JSON records that arrive in ``path``.
 
+    A line that does not parse is a record of nulls.  With ``corrupt``, the name of a column, such a
+    line stands there as text, and ``file`` names the file of every record.
+
     ``max_files_per_trigger=None`` takes all waiting files in one batch.  Scoring keeps no state
     between batches, so the results are the same; only the throughput differs.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path)
+    if not corrupt:
+        return reader.json(path)
+    wider = StructType([*schema, StructField(corrupt, StringType())])
+    records = reader.schema(wider).option("columnNameOfCorruptRecord", corrupt).json(path)
+    return records.select("*", F.col("_metadata.file_path").alias("file"))

@@ -6,7 +6,7 @@ the source's progress, kept in the checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -16,8 +16,8 @@ from riskpipe.operators.scoring import score
 from riskpipe.operators.training import RiskModel, load_model
 from riskpipe.sources.tables import read_stream
 from riskpipe.spec import RECORD_KEYS, RECORD_SCHEMA, DatasetSpec
-
-BatchSink = Callable[[DataFrame, int], None]
+from riskpipe.streaming.quarantine import CORRUPT, with_quarantine
+from riskpipe.streaming.sinks import BatchSink, batch_table, once, print_rows
 
 
 def load_models(root: str, specs: Mapping[str, DatasetSpec]) -> dict[str, RiskModel]:
@@ -25,33 +25,6 @@ def load_models(root: str, specs: Mapping[str, DatasetSpec]) -> dict[str, RiskMo
     return {name: load_model(f"{root}/{name}", spec) for name, spec in specs.items()}
 
 
-def fan_out(*sinks: BatchSink) -> BatchSink:
-    """One batch function for several sinks.
-
-    Empty batches are skipped. With more than one sink the batch is kept while they write, so it
-    is scored once; what an executor loss takes of it is computed again.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist() if len(sinks) > 1 else batch
-        try:
-            if not kept.isEmpty():
-                for sink in sinks:
-                    sink(kept, batch_id)
-        finally:
-            if len(sinks) > 1:
-                kept.unpersist()
-
-    return write
-
-
-def print_rows(batch: DataFrame, batch_id: int) -> None:
-    """Print all rows of a batch, one JSON line each; the driver holds one partition at a time."""
-    print(f"batch {batch_id}")
-    for row in batch.toJSON().toLocalIterator():
-        print(row)
-
-
 def _timed(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     if every is None:
         return writer.trigger(availableNow=True)
@@ -95,8 +68,26 @@ def start_scoring(
     every: str | None = "5 seconds",
     max_files_per_trigger: int | None = 1,
     missing: str = "error",
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
-    """Watch a folder of JSON records and write their risk profiles."""
-    records = read_stream(spark, input_path, RECORD_SCHEMA, max_files_per_trigger)
-    results = score(records, models, RECORD_KEYS, missing)
-    return write_stream(results, checkpoint, sink, output_path, every)
+    """Watch a folder of JSON records and write their risk profiles.
+
+    A record that does not parse is scored as one without measurements.  With ``quarantine_path``
+    it is not: it goes there, to a table ``(batch_id, file, reason, record)``.  Both tables then
+    have the batch's number as a partition, and a batch that is run again replaces its own rows.
+    """
+    if not quarantine_path:
+        records = read_stream(spark, input_path, RECORD_SCHEMA, max_files_per_trigger)
+        results = score(records, models, RECORD_KEYS, missing)
+        return write_stream(results, checkpoint, sink, output_path, every)
+    records = read_stream(spark, input_path, RECORD_SCHEMA, max_files_per_trigger, CORRUPT)
+    if sink == "console":
+        sink = print_rows
+    elif not callable(sink):
+        sink = batch_table(output_path, sink)
+    write = with_quarantine(
+        lambda sound: score(sound, models, RECORD_KEYS, missing),
+        once(sink, f"{checkpoint}/sinks/scores"),
+        batch_table(quarantine_path),
+    )
+    return write_stream(records, checkpoint, write, every=every)
