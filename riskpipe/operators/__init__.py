@@ -46,9 +46,12 @@ from riskpipe.operators.training import (
     top_features,
     train_flag,
 )
+from riskpipe.operators.wide import TableIndexer, TableIndexerModel, join_index
 
 __all__ = [
     "RiskModel",
+    "TableIndexer",
+    "TableIndexerModel",
     "assembler",
     "category_indexer",
     "classification_metrics",
@@ -67,6 +70,7 @@ __all__ = [
     "impute_median",
     "impute_mode",
     "index_by_join",
+    "join_index",
     "label_dictionary",
     "label_indexer",
     "load_model",

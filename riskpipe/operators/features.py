@@ -13,12 +13,10 @@ from pyspark.sql.types import StringType
 from riskpipe.functions.columns import as_double, col
 from riskpipe.operators.profile import label_dictionary
 from riskpipe.operators.quality import to_double
+from riskpipe.operators.wide import HOT_SHARE, TableIndexer, join_index
 from riskpipe.spec import DatasetSpec
 
-MAX_LABELS = 1_000_000  # dictionary entries a fitted indexer may carry to every task
-
-HOT_SHARE = 1e-6  # values with more of the rows than this are broadcast: a million at most
-SALTS = 10_000
+MAX_LABELS = 1_000_000  # labels that a fitted indexer may carry to every task
 
 LABEL, RAW, FEATURES = "label", "features_raw", "features"
 
@@ -35,17 +33,18 @@ def has_target(df: DataFrame, spec: DatasetSpec) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
-def check_dictionaries(df: DataFrame, cols: Sequence[str], limit: int = MAX_LABELS) -> None:
-    """Refuse to fit an indexer whose labels would not fit a driver and every task.
-
-    ``index_by_join`` has no such limit.
-    """
+def wide_columns(df: DataFrame, cols: Sequence[str], limit: int = MAX_LABELS) -> list[str]:
+    """The columns with more values, by a sketch, than a fitted indexer may carry."""
     if not cols:
-        return
+        return []
     sizes = df.agg(*[F.approx_count_distinct(col(c)).alias(f"n{i}") for i, c in enumerate(cols)])
-    for name, size in zip(cols, sizes.first()):
-        if size > limit:
-            raise ValueError(f"{name} has about {size} values: index it with index_by_join")
+    return [name for name, size in zip(cols, sizes.first()) if size > limit]
+
+
+def check_target(df: DataFrame, spec: DatasetSpec, limit: int = MAX_LABELS) -> None:
+    """Refuse a text target with more classes than a classifier could tell apart."""
+    if wide_columns(df, [spec.target], limit):
+        raise ValueError(f"{spec.target} has more than about {limit} classes")
 
 
 def label_indexer(spec: DatasetSpec) -> StringIndexer:
@@ -78,13 +77,16 @@ def scaler() -> StandardScaler:
     return StandardScaler(inputCol=RAW, outputCol=FEATURES, withMean=True, withStd=True)
 
 
-def feature_stages(spec: DatasetSpec) -> list:
-    """The stages in their fixed order.
+def feature_stages(spec: DatasetSpec, wide: Sequence[str] = ()) -> list:
+    """The stages in their fixed order; ``wide`` are the categories that a table indexes.
 
     The scaler comes last and drops the nominal attributes of the indexed columns, so that the
     forest splits them as ordered numbers.
     """
-    indexers = [category_indexer(spec.categorical)] if spec.categorical else []
+    narrow = [name for name in spec.categorical if name not in wide]
+    indexers = [category_indexer(narrow)] if narrow else []
+    if wide:
+        indexers.append(TableIndexer(wide, [f"{name}_idx" for name in wide]))
     return [*indexers, assembler(spec.features), scaler()]
 
 
@@ -95,18 +97,25 @@ def with_label(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """
     df = df.filter(has_target(df, spec))
     if has_text_target(df, spec):
-        check_dictionaries(df, [spec.target])
+        check_target(df, spec)
         return label_indexer(spec).fit(df).transform(df)
     return df.withColumn(LABEL, as_double(spec.target))
 
 
-def fit_features(df: DataFrame, spec: DatasetSpec) -> PipelineModel:
-    """Fit indexers and scaler on the rows of ``df``; text targets get their index here too."""
+def fit_features(
+    df: DataFrame, spec: DatasetSpec, max_labels: int = MAX_LABELS
+) -> PipelineModel:
+    """Fit indexers and scaler on the rows of ``df``; text targets get their index here too.
+
+    Categories with more than ``max_labels`` values, by a sketch, are indexed by a joined table.
+    """
     df = to_double(df.filter(has_target(df, spec)), spec.numeric)
-    text_target = has_text_target(df, spec)
-    check_dictionaries(df, [*spec.categorical, *([spec.target] if text_target else [])])
-    target = [label_indexer(spec)] if text_target else []
-    return Pipeline(stages=[*target, *feature_stages(spec)]).fit(df)
+    target = []
+    if has_text_target(df, spec):
+        check_target(df, spec)
+        target = [label_indexer(spec)]
+    wide = wide_columns(df, spec.categorical, max_labels)
+    return Pipeline(stages=[*target, *feature_stages(spec, wide)]).fit(df)
 
 
 def featurize(
@@ -128,34 +137,10 @@ def target_labels(model: PipelineModel) -> list[str] | None:
 
 
 def index_by_join(df: DataFrame, name: str, hot_share: float = HOT_SHARE) -> DataFrame:
-    """Add ``<name>_idx`` by joining the dictionary, for columns too wide for an indexer.
+    """Add ``<name>_idx`` by joining the column's dictionary (see ``join_index``), without a model.
 
-    The same indices as ``category_indexer``: null takes the index after the last.  The dictionary
-    has every value's count, so the values that hold more than ``hot_share`` of the rows are known:
-    they are broadcast, at most ``1 / hot_share`` of them.  Only the remaining rows take part in a
-    shuffled join, so none of its keys has a larger share; the settled rows are spread over it by
-    salts that match nothing.
+    The same indices as ``category_indexer``: null takes the index after the last.
     """
-    index = f"{name}_idx"
     known = label_dictionary(df, [name])
     size, total = known.agg(F.count("*"), F.sum("n_rows")).first()
-    hot = F.col("n_rows") > F.lit(hot_share) * F.lit(total or 0)
-    known = known.select(
-        hot.alias("__hot"),
-        F.col("value").alias("__value"), F.col("label_index").cast("double").alias("__index")
-    )
-    value = col(name).cast("string")
-    first = F.broadcast(known.filter("__hot").drop("__hot"))
-    joined = df.join(first, value == F.col("__value"), "left").drop("__value")
-    salt = F.pmod(F.xxhash64(*[col(c) for c in df.columns]), F.lit(SALTS)) + 1
-    open_row = F.col("__index").isNull() & col(name).isNotNull()
-    joined = joined.withColumn("__salt", F.when(open_row, F.lit(0).cast("long")).otherwise(salt))
-    rest = known.filter("NOT __hot").select(
-        F.col("__value"), F.lit(0).cast("long").alias("__no_salt"), F.col("__index").alias("__late")
-    )
-    found = joined.join(
-        rest, (value == F.col("__value")) & (F.col("__salt") == F.col("__no_salt")), "left"
-    )
-    return found.withColumn(
-        index, F.coalesce(F.col("__index"), F.col("__late"), F.lit(float(size)))
-    ).drop("__index", "__late", "__value", "__salt", "__no_salt")
+    return join_index(df, name, f"{name}_idx", known, size, total or 0, hot_share)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,11 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
-def classification_metrics(confused: DataFrame) -> DataFrame:
+def classification_metrics(confused: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One row ``(accuracy, precision, recall, f1_score, n_rows)``, weighted by class size.
 
+    With ``by`` a row for each value of those columns, which come first.  Cells may be given in
+    parts: those of one label and prediction add up.
     Each confusion cell counts once for the class it is and once for the class it was taken for;
     per-class sums of these need no join.
     """
@@ -44,10 +48,10 @@ def classification_metrics(confused: DataFrame) -> DataFrame:
     precision = _ratio(F.col("right"), F.col("predicted"))
     recall = _ratio(F.col("right"), F.col("actual"))
     per_class = (
-        confused.select(F.inline(sides))
-        .groupBy("class")
+        confused.select(*by, F.inline(sides))
+        .groupBy(*by, "class")
         .agg(*[F.sum(name).alias(name) for name in ("actual", "predicted", "right")])
-        .select("actual", "right", precision.alias("precision"), recall.alias("recall"))
+        .select(*by, "actual", "right", precision.alias("precision"), recall.alias("recall"))
         .withColumn(
             "f1",
             _ratio(
@@ -60,7 +64,7 @@ def classification_metrics(confused: DataFrame) -> DataFrame:
     def weighted(name: str) -> Column:
         return F.sum(F.col(name) * F.col("actual")) / total
 
-    return per_class.agg(
+    return per_class.groupBy(*by).agg(
         (F.sum("right") / total).alias("accuracy"),
         weighted("precision").alias("precision"),
         weighted("recall").alias("recall"),

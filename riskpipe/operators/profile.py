@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpipe.functions.columns import as_double, col, present
-from riskpipe.sources.staging import stage, staging
+from riskpipe.sources.staging import discard, stage, staging, staging_dir
 
 WINDOW_ROWS = 1_000_000  # rows that one task may number
 SKETCH_PROOF = 1_000  # largest limit for which a 4096-register sketch proves "more than"
@@ -118,16 +118,18 @@ def label_dictionary(
     """``(column_name, value, n_rows, label_index)``: most frequent value first, ties by value.
 
     The value counts are staged, so their number is known before any of them is put in order: up
-    to ``window_rows`` a window numbers them, beyond that a range sort does.  Only the dictionary
-    outlives the call, as a table of its own.
+    to ``window_rows`` a window numbers them, beyond that a range sort does, into a table of its own.
     """
     order = [F.desc("n_rows"), F.asc("value")]
+    folder = staging_dir(df.sparkSession)
+    counts = stage(value_counts(df, cols), folder, "counts")
+    if counts.count() <= window_rows:
+        index = F.row_number().over(Window.partitionBy("column_name").orderBy(*order)) - 1
+        return counts.withColumn("label_index", index.cast("long"))
     with staging(df.sparkSession) as work:
-        counts = stage(value_counts(df, cols), work, "counts")
-        if counts.count() <= window_rows:
-            index = F.row_number().over(Window.partitionBy("column_name").orderBy(*order)) - 1
-            return stage(counts.withColumn("label_index", index.cast("long")))
-        return stage(_numbered(counts, F.col("column_name"), order, work))
+        numbered = stage(_numbered(counts, F.col("column_name"), order, work))
+    discard(df.sparkSession, folder)
+    return numbered
 
 
 def _numbered(counts: DataFrame, group: Column, order: list[Column], work: str) -> DataFrame:

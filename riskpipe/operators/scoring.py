@@ -2,7 +2,8 @@
 
 All models run side by side over one pass of the records: each takes its inputs from columns that
 carry its own prefix, and the results are unfolded into one row per record and dataset at the end.
-Nothing here is an action or a shuffle, so batch and streaming frames take the same path.
+Nothing here is an action, so batch and streaming frames take the same path.  It shuffles only
+where a category is so wide that its dictionary is a table, which is joined.
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from riskpipe.functions.columns import col, literal, quoted
 from riskpipe.functions.risk import missing_fields, risk_band, risk_from_label
 from riskpipe.operators.features import RAW
 from riskpipe.operators.training import RiskModel
+from riskpipe.operators.wide import TableIndexerModel
 from riskpipe.spec import RECORD_KEYS, DatasetSpec
 
 MISSING_MODES = ("error", "zero")
+INDEXERS = (StringIndexerModel, TableIndexerModel)
 
 
 def record_inputs(
@@ -78,6 +81,8 @@ def score_errors(
 
 def _bound(stage: Transformer, prefix: str) -> Transformer:
     """A copy of a fitted stage that reads and writes prefixed columns."""
+    if isinstance(stage, TableIndexerModel):
+        return stage.renamed(prefix)
     renamed = {}
     for param in stage.params:
         if not param.name.endswith(("Col", "Cols")) or not stage.isDefined(param):
@@ -120,8 +125,8 @@ def _score_wide(
     for name, model in models.items():
         prefix = prefixes[name]
         stages = [s for s in model.pipeline.stages if not _is_target_indexer(s, model.spec)]
-        before = [s for s in stages if isinstance(s, StringIndexerModel)]
-        after = [s for s in stages if not isinstance(s, (StringIndexerModel, VectorAssembler))]
+        before = [s for s in stages if isinstance(s, INDEXERS)]
+        after = [s for s in stages if not isinstance(s, (*INDEXERS, VectorAssembler))]
         for fitted in before:
             scored = _bound(fitted, prefix).transform(scored)
         indices = F.array(*[col(prefix + n) for n in model.spec.indexed]).cast("array<double>")

@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 from riskpipe.functions.columns import col
 from riskpipe.operators.features import FEATURES, LABEL, target_labels
+from riskpipe.operators.wide import TableIndexerModel
 from riskpipe.spec import DatasetSpec
 
+TRAINING, TRAINING_FOLDER = "train_rows long, parts long", "training"
+
 
 def train_flag(key: Sequence[str], train: float = 0.8, seed: int = 42) -> Column:
     """Whether a row belongs to the training part, decided by a hash of its key alone."""
@@ -63,6 +66,8 @@ class RiskModel:
 
     spec: DatasetSpec
     pipeline: PipelineModel
+    train_rows: int | None = None  # that the forest was grown on,
+    parts: int | None = None  # and into how many parts they were dealt
 
     @property
     def forest(self) -> RandomForestClassificationModel:
@@ -78,11 +83,22 @@ class RiskModel:
 
 
 def save_model(model: RiskModel, path: str) -> None:
-    model.pipeline.write().overwrite().save(path)
+    """Replace the model at ``path``, also by one that was loaded from there."""
+    stages = [s.detached() if isinstance(s, TableIndexerModel) else s for s in model.pipeline.stages]
+    PipelineModel(stages).write().overwrite().save(path)
+    if model.parts:
+        rows = SparkSession.builder.getOrCreate().createDataFrame([(model.train_rows, model.parts)], TRAINING)
+        rows.coalesce(1).write.mode("overwrite").json(f"{path}/{TRAINING_FOLDER}")
 
 
 def load_model(path: str, spec: DatasetSpec) -> RiskModel:
-    return RiskModel(spec, PipelineModel.load(path))
+    spark = SparkSession.builder.getOrCreate()
+    pipeline = PipelineModel.load(path)
+    notes = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{TRAINING_FOLDER}")
+    if not notes.getFileSystem(spark._jsc.hadoopConfiguration()).exists(notes):
+        return RiskModel(spec, pipeline)
+    noted = spark.read.schema(TRAINING).json(f"{path}/{TRAINING_FOLDER}").first()
+    return RiskModel(spec, pipeline, noted["train_rows"], noted["parts"])
 
 
 def top_features(spark: SparkSession, model: RiskModel, k: int = 5) -> DataFrame:

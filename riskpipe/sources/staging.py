@@ -43,6 +43,12 @@ def staging_dir(spark: SparkSession) -> str:
     return path
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, folder: str | None = None, name: str = "table") -> DataFrame:
     """Write ``df`` to a table and return the frame that reads it.
 

@@ -4,19 +4,27 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskpipe.operators import (
+    TableIndexer,
     category_indexer,
     classification_metrics,
     confusion,
     featurize,
     fit_features,
+    forest,
     index_by_join,
     label_dictionary,
+    load_model,
+    risk_profile,
+    save_model,
+    score,
     split,
     target_labels,
     with_label,
 )
-from riskpipe.operators.features import check_dictionaries
+from riskpipe.operators.features import check_target, wide_columns
+from riskpipe.plans import train
 from riskpipe.spec import DatasetSpec
+from riskpipe.streaming import write_stream
 
 NAN = float("nan")
 SPEC = DatasetSpec("t", "y", categorical=("c d",), numeric=("a", "k"))
@@ -100,10 +108,73 @@ def test_dictionary_equals_indexer_labels(spark):
     assert [r["value"] for r in rows] == list(model.labelsArray[0])
 
 
-def test_oversized_dictionaries_are_refused(spark):
-    df = spark.range(1000).selectExpr("string(id) AS v")
-    with pytest.raises(ValueError, match="index_by_join"):
-        check_dictionaries(df, ["v"], limit=100)
+def test_wide_columns_are_told_by_a_sketch_and_wide_targets_refused(spark):
+    df = spark.range(1000).selectExpr("string(id) AS v", "string(id % 9) AS `c d`", "'x' AS y")
+    assert wide_columns(df, ["v", "c d"], 100) == ["v"]
+    assert wide_columns(df, [], 100) == []
+    with pytest.raises(ValueError, match="classes"):
+        check_target(df, DatasetSpec("t", "v", target_type="string"), limit=100)
+
+
+def wide_toy(spark):
+    """A hot value, many rare ones, nulls, and a narrow category beside it; with extra columns."""
+    return spark.range(4000).selectExpr(
+        "double(id % 2) AS y",
+        "double(id % 17) AS a",
+        "double(id % 5) AS k",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 41 = 0 THEN NULL ELSE 'v' || id % 700 END AS `c d`",
+        "string(id % 3) AS few",
+        "id AS value",
+        "'x' AS column_name",
+    )
+
+
+WIDE = DatasetSpec("t", "y", categorical=("c d", "few"), numeric=("a", "k"))
+
+
+def test_a_wide_category_gives_the_same_features(spark):
+    df = wide_toy(spark)
+    narrow, wide = fit_features(df, WIDE), fit_features(df, WIDE, max_labels=100)
+    kinds = [type(s).__name__ for s in wide.stages]
+    assert kinds[:2] == ["StringIndexerModel", "TableIndexerModel"]
+    keep = ["value", "column_name"]
+    both = [sorted(map(tuple, featurize(df, WIDE, m, keep).collect()), key=lambda r: r[2]) for m in (narrow, wide)]
+    assert both[0] == both[1] and len(both[0]) == 4000
+
+
+def test_a_wide_category_is_saved_loaded_and_scored(spark, tmp_path):
+    df = wide_toy(spark)
+    model = train(df, WIDE, classifier=forest(trees=3, depth=3), max_labels=100).model
+    path = str(tmp_path / "model")
+    save_model(model, path)
+    again = load_model(path, WIDE)
+    save_model(again, path)  # over the table it reads from
+    again = load_model(path, WIDE)
+    records = df.union(spark.sql("SELECT 0D, 1D, 2D, 'never seen', NULL, 5000L, 'x'"))
+    both = risk_profile(records, {"before": model, "after": again}, keep=["value"], pivot=True)
+    assert both.count() == both.filter("before = after AND before.error IS NULL").count() == 4001
+    assert again.pipeline.stages[1].getOrDefault("sizes") == [model.pipeline.stages[1].dictionary.count()]
+
+
+def test_a_wide_category_in_a_stream_equals_the_table(spark, tmp_path):
+    df = wide_toy(spark)
+    model = train(df, WIDE, classifier=forest(trees=3, depth=3), max_labels=100).model
+    df.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    write_stream(
+        score(stream, {"t": model}, keep=["value"]), str(tmp_path / "progress"), "parquet", out, every=None
+    ).awaitTermination()
+    streamed = spark.read.parquet(out)
+    batch = score(df, {"t": model}, keep=["value"])
+    assert streamed.count() == 4000 and streamed.exceptAll(batch).count() == 0
+
+
+def test_an_empty_wide_table_knows_no_value(spark):
+    df = wide_toy(spark)
+    model = TableIndexer(["c d"], ["i"]).fit(df.limit(0))
+    assert {r["i"] for r in model.transform(df).select("i").distinct().collect()} == {0.0}
+    assert TableIndexer(["c d"], ["i"], hotShare=0.5).fit(df).getOrDefault("hotShare") == 0.5
 
 
 def judged(spark):
