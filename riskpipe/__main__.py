@@ -42,6 +42,9 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--features", help="what the features job wrote")
     job.add_argument("--models", required=True)
     job.add_argument("--report")
+    job.add_argument("--partitions", type=int, help="parts of the training rows; follows from their number")
+    job.add_argument("--at-once", type=int, default=4, help="datasets trained side by side")
+    job.add_argument("--evaluations", help="folder that keeps confusion counts")
     job.add_argument("--fit-on", choices=["all", "train"], default="all")
     job.add_argument("--split-by", choices=["hash", "random"], default="hash")
 
@@ -54,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--every", default="5 seconds", help="'once' takes what is there and stops")
     job.add_argument("--files-per-trigger", type=int, default=1, help="0 for all waiting files")
     job.add_argument("--missing", choices=["error", "zero"], default="error")
+    job.add_argument("--quarantine", help="table of the records that do not parse")
     return top
 
 
@@ -70,6 +74,7 @@ def main(arguments: list[str] | None = None) -> None:
         featurize_all(spark, specs, args.clean, args.features)
     elif args.job == "train":
         options = {"fit_on": args.fit_on, "split_by": args.split_by} if args.clean else {}
+        options |= {"partitions": args.partitions, "at_once": args.at_once, "evaluations": args.evaluations}
         root = args.clean or args.features
         train_all(
             spark, specs, root, args.models, args.report, from_features=bool(args.features), **options
@@ -85,6 +90,7 @@ def main(arguments: list[str] | None = None) -> None:
             None if args.every == "once" else args.every,
             args.files_per_trigger or None,
             args.missing,
+            args.quarantine,
         ).awaitTermination()
 
 

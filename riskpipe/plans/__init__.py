@@ -7,6 +7,7 @@ from riskpipe.plans.cleaning import (
     quality_report,
     stage_counts,
 )
+from riskpipe.plans.evaluation import add_evaluation, evaluation_of_parts, evaluation_parts
 from riskpipe.plans.learning import (
     TrainResult,
     evaluation_report,
@@ -18,6 +19,9 @@ from riskpipe.plans.learning import (
 )
 
 __all__ = [
+    "add_evaluation",
+    "evaluation_of_parts",
+    "evaluation_parts",
     "CleanResult",
     "TrainResult",
     "clean",

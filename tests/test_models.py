@@ -1,6 +1,10 @@
 """Training, saving, scoring and streaming on the same records."""
 
 import json
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +22,7 @@ from riskpipe.operators import (
     top_features,
 )
 from riskpipe.plans import evaluation_report, featurize_all, train, train_all
+from riskpipe.plans.learning import side_by_side, training_parts
 from riskpipe.sources import read_stream, stage, write_table
 from riskpipe.spec import RECORD_FIELDS, RECORD_SCHEMA, SPECS
 from riskpipe.streaming import fan_out, load_models, start_scoring, write_stream
@@ -236,6 +241,45 @@ def test_a_forest_does_not_depend_on_files_or_cores(spark, records):
     assert found[0] == found[1] and len(found[0]) > 20
 
 
+def test_parts_follow_from_the_rows_alone():
+    assert [training_parts(n, 21) for n in (0, 1, 1000, 1001, 12_000, 10**6)] == [1, 1, 1, 2, 12, 32]
+    for rows, features in ((10**9, 21), (10**11, 200)):
+        assert rows / training_parts(rows, features) * (features + 1) * 8 <= 128 << 20
+
+
+@pytest.mark.parametrize("size", [1, 12])
+def test_a_forest_does_not_depend_on_cores(size, tmp_path):
+    """The same table on two and on four cores: the same parts, the same forest, noted when saved."""
+    code = f"""
+import re, sys
+from pyspark.sql import SparkSession
+from riskpipe.operators import forest, load_model, save_model
+from riskpipe.plans import train
+from riskpipe.spec import SPECS
+from verification.synthetic import synthesize_patients
+from verification.tables import training_rows
+spark = (SparkSession.builder.master(f"local[{{sys.argv[1]}}]").config("spark.ui.enabled", "false")
+    .config("spark.checkpoint.dir", sys.argv[2]).getOrCreate())
+rows = training_rows(synthesize_patients(spark, {size} * 400), "heart")
+done = train(rows, SPECS["heart"], classifier=forest(4, 4), partitions=None)
+save_model(done.model, sys.argv[2] + "/model")
+again = load_model(sys.argv[2] + "/model", SPECS["heart"])
+# the scaler's sums, and so the last digits of thresholds, may differ
+trees = re.sub(r"-?[0-9]+[.][0-9]+(E-?[0-9]+)?", lambda m: format(float(m[0]), ".6f"), again.forest.toDebugString)
+print("FOREST", again.parts, again.train_rows == done.train_rows, hash(trees.split(chr(10), 1)[1]))
+"""
+    found = []
+    for cores in (2, 4):
+        ran = subprocess.run(
+            [sys.executable, "-c", code, str(cores), str(tmp_path / str(cores))],
+            capture_output=True, text=True, timeout=300, cwd=Path(__file__).parents[1],
+            env={**os.environ, "PYTHONHASHSEED": "0"},
+        )
+        found.append([x for x in ran.stdout.splitlines() if x.startswith("FOREST")])
+    assert found[0] == found[1] and len(found[0]) == 1, ran.stderr[-2000:]
+    assert found[0][0].split()[1:3] == [{1: "1", 12: "4"}[size], "True"]
+
+
 def test_console_prints_every_result(spark, models, records, tmp_path, capsys):
     write_json(records.limit(30), tmp_path / "in", 1)
     with pytest.raises(ValueError, match="path"):
@@ -280,3 +324,41 @@ def test_long_running_query_processes_new_files(spark, models, records, tmp_path
     finally:
         query.stop()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+
+
+def test_datasets_are_trained_side_by_side_and_a_failure_leaves_the_others(
+    spark, clean_root, results, tmp_path
+):
+    """Heart's table is missing; the others are saved and reported, with the same predictions."""
+    broken = {**SPECS, "lost": SPECS["heart"]}
+    with pytest.raises(ExceptionGroup, match="lost") as caught:
+        train_all(
+            spark, broken, clean_root, str(tmp_path), str(tmp_path / "report"), classifier=forest(8, 4), at_once=3
+        )
+    assert len(caught.value.exceptions) == 1
+    report = spark.read.option("header", True).csv(str(tmp_path / "report"))
+    assert [r["disease"] for r in report.collect()] == list(SPECS)
+    for name, spec in SPECS.items():
+        again = load_model(str(tmp_path / name), spec).forest
+        assert again.toDebugString.split("\n", 1)[1] == results[0][name].model.forest.toDebugString.split("\n", 1)[1]
+
+
+def test_tasks_run_in_threads_and_inherit_the_callers_properties(spark):
+    from threading import Barrier, get_ident
+
+    spark.sparkContext.setLocalProperty("mine", "kept")
+    together = Barrier(2, timeout=60)
+
+    def task():
+        together.wait()  # passes only if both run at the same time
+        context = spark.sparkContext
+        return context.getLocalProperty("mine"), context.getLocalProperty("spark.scheduler.pool"), get_ident()
+
+    def fails():
+        raise KeyError("no")
+
+    done, failed = side_by_side(spark, {"a": task, "b": task, "c": fails}, at_once=2)
+    assert [d[:2] for d in done.values()] == [("kept", "a"), ("kept", "b")]
+    assert list(done) == ["a", "b"] and done["a"][2] != done["b"][2]
+    assert list(failed) == ["c"] and isinstance(failed["c"], KeyError)
+    spark.sparkContext.setLocalProperty("mine", None)
