@@ -312,6 +312,12 @@ FROM patients)"""
 ORACLE_SQL["synthetic_patients"] = f"WITH {_patients('orders', 'o_orderkey')} SELECT * FROM patients"
 ORACLE_SQL["json_stream_source"] = f"WITH {_CUSTOMERS} SELECT * FROM patients"
 
+ORACLE_SQL["quarantined_records"] = """
+SELECT CASE c_custkey % 10 WHEN 1 THEN 'not JSON' WHEN 2 THEN 'not a JSON object'
+         WHEN 3 THEN 'no number: BMI' ELSE 'sound' END AS kind,
+  count(*) AS n_rows, count(*) AS n_told
+FROM customer GROUP BY kind"""
+
 # --- features ------------------------------------------------------------------------------------
 
 ORACLE_SQL["numeric_label"] = (
@@ -372,6 +378,20 @@ SELECT label,
   {", ".join(f"{_scaled(c)} AS {c}" for c in ("o_totalprice", "o_custkey", "o_orderpriority_idx"))}
 FROM joined"""
 
+ORACLE_SQL["wide_feature_table"] = f"""WITH {_index("o_orderstatus")}, {_index("o_orderpriority")},
+{_index("o_custkey")},
+joined AS (
+  SELECT s.i AS label, o_totalprice, c.i AS o_custkey_idx, p.i AS o_orderpriority_idx
+  FROM orders JOIN ix_o_orderstatus s ON o_orderstatus = s.v
+  JOIN ix_o_custkey c ON o_custkey = c.v
+  JOIN ix_o_orderpriority p ON o_orderpriority = p.v)
+SELECT label,
+  {", ".join(f"{_scaled(c)} AS {c}" for c in ("o_totalprice", "o_custkey_idx", "o_orderpriority_idx"))}
+FROM joined"""
+
+ORACLE_SQL["wide_category_scores"] = """
+SELECT count(*) AS n_rows, count(*) AS n_sound, count(*) AS n_reloaded, count(*) AS n_streamed FROM orders"""
+
 # --- training and evaluation ---------------------------------------------------------------------
 
 ORACLE_SQL["hash_split_counts"] = """
@@ -404,6 +424,22 @@ ORACLE_SQL["metrics_of_many_classes"] = f"""WITH judged AS (
          CAST(l_linenumber % 5 + l_suppkey % 2 AS DOUBLE) AS prediction FROM lineitem),
 {_CONFUSED}{_METRICS}"""
 
+
+
+def _judged_orders(name: str, key: str) -> str:
+    """One judge's line of the report; part 1 was evaluated twice and counts once."""
+    return f"""(WITH judged AS (
+  SELECT CAST(strpos('FOP', o_orderstatus) - 1 AS DOUBLE) AS label,
+         CAST({key} % 3 AS DOUBLE) AS prediction FROM orders),
+{_CONFUSED}, metrics AS ({_METRICS.removeprefix(", ").replace("classes AS", "WITH classes AS", 1)})
+SELECT '{name}' AS disease, accuracy, "precision", recall, f1_score,
+  CAST(46 AS BIGINT) AS train_rows, n_rows AS test_rows FROM metrics)"""
+
+
+ORACLE_SQL["evaluation_by_parts"] = "\nUNION ALL\n".join(
+    _judged_orders(name, key) for name, key in (("by_customer", "o_custkey"), ("by_order", "o_orderkey"))
+)
+
 ORACLE_SQL["model_round_trip"] = (
     "SELECT count(*) AS n_rows, count(*) AS n_identical FROM customer"
 )
@@ -501,6 +537,14 @@ SELECT count(*) FILTER (NOT {_TEST_ROWS}) AS train_rows, count(*) FILTER ({_TEST
   count(*) FILTER ({_TEST_ROWS}) AS n_sound, true AS metrics_agree, true AS same_when_dealt_anew
 FROM orders"""
 
+_IS_TRAIN = "CAST('0x' || substr(md5('42:' || row_key), 1, 8) AS UBIGINT) % 100 < 80"
+ORACLE_SQL["trained_side_by_side"] = f"""WITH keyed AS (
+  SELECT 'orders' AS disease, CAST(o_orderkey AS VARCHAR) AS row_key FROM orders
+  UNION ALL SELECT 'lines', l_orderkey || '-' || l_linenumber FROM lineitem)
+SELECT disease, count(*) FILTER ({_IS_TRAIN}) AS train_rows, count(*) FILTER (NOT {_IS_TRAIN}) AS test_rows,
+  true AS same_when_kept, true AS same_when_loaded, true AS accuracy_counted
+FROM keyed GROUP BY disease"""
+
 ORACLE_SQL["forest_test_labels"] = f"""WITH {_index("o_orderstatus")}
 SELECT i AS label, count(*) AS n_rows FROM orders JOIN ix_o_orderstatus ON o_orderstatus = v
 WHERE {_TEST_ROWS} GROUP BY i"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -45,8 +46,18 @@ from riskpipe.operators import (
     validate_schema,
     with_label,
 )
-from riskpipe.plans import TrainResult, clean, evaluation_report, feature_columns, train
+from riskpipe.plans import (
+    TrainResult,
+    add_evaluation,
+    clean,
+    evaluation_of_parts,
+    evaluation_report,
+    feature_columns,
+    train,
+    train_all,
+)
 from riskpipe.plans.cleaning import REPORT_COLUMNS
+from riskpipe.plans.learning import side_by_side
 from riskpipe.sources import (
     read_raw,
     read_stream,
@@ -57,11 +68,15 @@ from riskpipe.sources import (
     write_table,
 )
 from riskpipe.spec import SPECS, DatasetSpec
-from riskpipe.streaming import start_scoring, write_stream
+from riskpipe.streaming import batch_table, start_scoring, with_quarantine, write_stream
+from riskpipe.streaming.quarantine import CORRUPT
 from verification.synthetic import synthesize_patients
 from verification.tables import (
     DIRTY,
+    LINES,
     ORDERS,
+    WIDE_FROM,
+    WIDE_ORDERS,
     dirty_events,
     gappy_patients,
     patients,
@@ -288,6 +303,41 @@ def json_stream_source(spark, sf_dir):
     return spark.read.schema(stream.schema).parquet(f"{work}/out")
 
 
+@query
+def quarantined_records(spark, sf_dir):
+    """Records through a stream, some of them cut off, some no object, some with words for numbers:
+    how many reach the score's check of inputs, and how many are listed for which reason."""
+    work = staging_dir(spark)
+    records = patients(spark, sf_dir)
+    rows = records.select(
+        F.element_at(F.split("patient_id", "-"), -1).cast("long").alias("key"),
+        F.to_json(F.struct(*records.columns)).alias("line"),
+    )
+    broken = (
+        F.when(F.col("key") % 10 == 1, F.expr("left(line, length(line) - 1)"))
+        .when(F.col("key") % 10 == 2, F.lit('"no record"'))
+        .when(F.col("key") % 10 == 3, F.regexp_replace("line", '"BMI":[0-9.]+', '"BMI":"high"'))
+        .otherwise(F.col("line"))
+    )
+    rows.select(broken.alias("line")).repartition(4).write.text(f"{work}/in")
+    write = with_quarantine(
+        lambda sound: score_errors(sound, SPECS["stroke"]),
+        batch_table(f"{work}/sound"),
+        batch_table(f"{work}/broken"),
+    )
+    stream = read_stream(spark, f"{work}/in", max_files_per_trigger=2, corrupt=CORRUPT)
+    write_stream(stream, f"{work}/progress", write, every=None).awaitTermination()
+    sound = spark.read.parquet(f"{work}/sound").select(
+        F.lit("sound").alias("kind"), F.col("error").isNull().alias("told")
+    )
+    listed = spark.read.parquet(f"{work}/broken").select(
+        F.col("reason").alias("kind"), F.col("file").contains(f"{work}/in/").alias("told")
+    )
+    return sound.unionAll(listed).groupBy("kind").agg(
+        F.count("*").alias("n_rows"), F.count_if("told").alias("n_told")
+    )
+
+
 @query
 def synthetic_patients(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
@@ -380,6 +430,43 @@ def feature_table(spark, sf_dir):
     )
 
 
+@query
+def wide_feature_table(spark, sf_dir):
+    """Features with a category that a joined table indexes instead of the model's labels."""
+    df = table(spark, sf_dir, "orders")
+    features = featurize(df, WIDE_ORDERS, fit_features(df, WIDE_ORDERS, max_labels=WIDE_FROM))
+    return feature_columns(features, WIDE_ORDERS).select(
+        "label", *[F.round(name, 5).alias(name) for name in WIDE_ORDERS.features]
+    )
+
+
+@query
+def wide_category_scores(spark, sf_dir):
+    """Orders scored by a model with a wide category: sound results, and how many of them a reloaded
+    model and a stream repeat."""
+    rows = table(spark, sf_dir, "orders")
+    result = train(rows, WIDE_ORDERS, classifier=_small(), split_key=["o_orderkey"], max_labels=WIDE_FROM)
+    work = staging_dir(spark)
+    save_model(result.model, f"{work}/model")
+    again = load_model(f"{work}/model", WIDE_ORDERS)
+    rows.repartition(4).write.parquet(f"{work}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{work}/in")
+    keep = ["o_orderkey"]
+    scored = score(stream, {"orders": again}, keep)
+    write_stream(scored, f"{work}/progress", "parquet", f"{work}/out", every=None).awaitTermination()
+    streamed = spark.read.schema(scored.schema).parquet(f"{work}/out")
+    both = risk_profile(rows, {"before": result.model, "after": again}, keep, pivot=True)
+    p = F.col("before.probability")
+    total = F.aggregate(p, F.lit(0.0), lambda total, one: total + one)
+    sound = (F.size(p) == 3) & (F.abs(total - 1) < 1e-9) & F.col("before.error").isNull()
+    return both.join(streamed, keep).agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(sound).alias("n_sound"),
+        F.count_if(F.col("before") == F.col("after")).alias("n_reloaded"),
+        F.count_if((p == F.col("probability")) & (F.col("before.risk") == F.col("risk"))).alias("n_streamed"),
+    )
+
+
 # --- training and evaluation ---------------------------------------------------------------------
 
 
@@ -424,6 +511,78 @@ def _rounded_metrics(metrics: DataFrame) -> DataFrame:
     )
 
 
+@query
+def evaluation_by_parts(spark, sf_dir):
+    """The report of two judges of orders, evaluated in four parts each, one of them twice."""
+    root = staging_dir(spark)
+    for name, key in (("by_customer", "o_custkey"), ("by_order", "o_orderkey")):
+        judged = table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey % 4 AS part",
+            "double(locate(o_orderstatus, 'FOP') - 1) AS label",
+            f"double({key} % 3) AS prediction",
+        )
+        for part in (0, 1, 2, 3, 1):
+            some = judged.filter(F.col("part") == part)
+            add_evaluation(some, root, name, f"part-{part}", train_rows=10 + part)
+    return evaluation_of_parts(spark, root).select(
+        "disease",
+        *[F.round(n, 9).alias(n) for n in ("accuracy", "precision", "recall", "f1_score")],
+        "train_rows",
+        "test_rows",
+    )
+
+
+@query
+def trained_side_by_side(spark, sf_dir):
+    """Orders and lines trained at once: rows of both parts, and whether the report, the kept counts,
+    the saved models and the probabilities of the predictions agree with each other."""
+    work = staging_dir(spark)
+    specs = {"orders": ORDERS, "lines": LINES}
+    keys = {"orders": "string(o_orderkey)", "lines": "l_orderkey || '-' || l_linenumber"}
+    for name, source in (("orders", "orders"), ("lines", "lineitem")):
+        rows = table(spark, sf_dir, source).selectExpr(*specs[name].columns, f"{keys[name]} AS row_key")
+        write_table(rows, f"{work}/{name}")
+    results = train_all(
+        spark,
+        specs,
+        work,
+        f"{work}/models",
+        f"{work}/report",
+        classifier=_small(),
+        split_key=["row_key"],
+        evaluations=f"{work}/kept",
+    )
+    written = read_raw(spark, f"{work}/report", schema=evaluation_report(spark, results).schema)
+    kept = evaluation_of_parts(spark, f"{work}/kept")
+    checks = []
+    for name, result in results.items():
+        again = load_model(f"{work}/models/{name}", specs[name])
+        first = class_probability(F.col("probability"), 0)
+        rows = again.predict(result.predictions.drop("rawPrediction", "probability", "prediction"))
+        sums = [
+            r.agg(F.round(F.sum(first), 6), F.count_if(F.col("prediction") == F.col("label"))).first()
+            for r in (rows, result.predictions)
+        ]
+        checks.append((name, tuple(sums[0]) == tuple(sums[1]), sums[0][1]))
+    told = spark.createDataFrame(checks, "disease string, same_when_loaded boolean, hits long")
+    close = F.lit(True)
+    for metric in ("accuracy", "precision", "recall", "f1_score"):
+        close &= F.abs(F.col(f"w.{metric}") - F.col(f"k.{metric}")) < 1e-12
+    return (
+        written.alias("w")
+        .join(kept.alias("k"), "disease")
+        .join(told, "disease")
+        .select(
+            "disease",
+            "w.train_rows",
+            "w.test_rows",
+            (close & (F.col("w.test_rows") == F.col("k.test_rows"))).alias("same_when_kept"),
+            "same_when_loaded",
+            (F.abs(F.col("hits") / F.col("w.test_rows") - F.col("w.accuracy")) < 1e-9).alias("accuracy_counted"),
+        )
+    )
+
+
 _TRAINED: dict[tuple[str, str], dict[str, TrainResult]] = {}
 
 
@@ -432,9 +591,12 @@ def trained(spark: SparkSession, sf_dir: str) -> dict[str, TrainResult]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TRAINED:
         records = stage(patients(spark, sf_dir))
-        _TRAINED[key] = {
-            name: train(training_rows(records, name), spec) for name, spec in SPECS.items()
+        tasks = {
+            name: partial(train, training_rows(records, name), spec) for name, spec in SPECS.items()
         }
+        _TRAINED[key], failures = side_by_side(spark, tasks)
+        if failures:
+            raise ExceptionGroup("not trained", list(failures.values()))
     return _TRAINED[key]
 
 

@@ -27,6 +27,26 @@ ORDERS = DatasetSpec(
     target_type="string",
 )
 
+LINES = DatasetSpec(
+    "lines",
+    target="l_returnflag",
+    categorical=("l_linestatus",),
+    numeric=("l_quantity", "l_extendedprice", "l_discount", "l_tax"),
+    target_type="string",
+)
+
+#: Orders with their customer as a category, which is wide above so many values here.
+WIDE_ORDERS = DatasetSpec(
+    "wide_orders",
+    target="o_orderstatus",
+    categorical=("o_custkey", "o_orderpriority"),
+    numeric=("o_totalprice",),
+    drop=("o_orderkey",),
+    target_type="string",
+)
+WIDE_FROM = 10
+FILES = 16
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -64,7 +84,8 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gappy_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records with some measurements missing.
 
-    Staged, as records come from files and not from hashes computed on the way.
+    Staged, as records come from files and not from hashes computed on the way; in ``FILES`` of
+    them, so that not one task scores them all.
     """
     gaps = {
         "BMI": "IF(BMI > 45, NULL, BMI)",
@@ -74,7 +95,8 @@ def gappy_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Snoring": "IF(Snoring = 7 AND Dry_Cough = 7, NULL, Snoring)",
     }
     records = patients(spark, sf_dir)
-    return stage(records.selectExpr(*[f"{gaps.get(c, c)} AS {c}" for c in records.columns]))
+    gappy = records.selectExpr(*[f"{gaps.get(c, c)} AS {c}" for c in records.columns])
+    return stage(gappy.repartition(FILES, "patient_id"))
 
 
 def _points(*conditions: str) -> str:
