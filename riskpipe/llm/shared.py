@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -43,11 +44,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df``, written to the shared folder; Spark's cleaner owns the files."""
+    """``df``, written to the shared folder; the files go when nothing refers to the frame any more.
+
+    Spark's cleaner deletes them then, if it is told to by a setting that it reads for each checkpoint.
+    """
     shared_folder(df.sparkSession)
+    df.sparkSession._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffles and checkpoints of frames that are gone by now.
+
+    It learns of them from the driver's garbage collection, which may not come for a long time.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def workspace(spark: SparkSession) -> Iterator[str]:
     """A new path in the shared folder for tables that nothing needs afterwards."""
