@@ -3,9 +3,11 @@
 A link can only lie between two nodes that share a bucket. ``grouped`` finds the groups that all such
 links would give, testing few of the pairs:
 
-* In each of two rounds a bucket tests its members against one of them, the first in a
-  pseudo-random order that all buckets share; links join groups. A large bucket of near copies
-  shrinks to one group here, at one test a member and round.
+* In each of two rounds a bucket tests its members against one of them; links join groups. First that
+  is the member that shares buckets with most others: among copies that were each changed in their own
+  way, the one they stem from, which is like most of them where two of them are not like each
+  other. Then it is the first in a pseudo-random order that all buckets share. A large bucket of near
+  copies shrinks to one group here, at one test a member and round.
 * A last pass is exact: wherever a bucket still holds members of more than one group, each member
   outside its largest group is tested against all members of other groups. Pairs inside one group
   need no test, as their group is known. Where many members may be alike and yet not linked, the
@@ -23,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskpipe.llm.shared import checkpointed
+from riskpipe.llm.shared import checkpointed, release
 
 #: From pairs (a, b) to those of them that are links.
 Test = Callable[[DataFrame], DataFrame]
@@ -41,6 +43,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         edges = checkpointed(_small_star(_large_star(edges)))
         before, mark = mark, _mark(edges)
+        release(edges.sparkSession)  # the step before
         if mark == before:
             return edges.select(F.col("high").alias("node"), F.col("low").alias("root"))
 
@@ -86,12 +89,16 @@ def grouped(members: DataFrame, test: Test, last: Test | None = None) -> DataFra
     of them to connect what the links in each bucket connect.
     """
     roots = None
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    central = members.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
     for turn in range(ROUNDS):
         labelled = _labelled(members, roots)
-        first = labelled.groupBy("bucket").agg(
-            F.min_by(F.struct("node", "root"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias(
-                "hub"
-            )
+        weight = -F.col("weight") if turn == 0 else F.lit(0)
+        order = F.struct(weight, F.xxhash64("node", F.lit(turn)), "node")
+        first = (
+            (labelled.join(central, "node") if turn == 0 else labelled)
+            .groupBy("bucket")
+            .agg(F.min_by(F.struct("node", "root"), order).alias("hub"))
         )
         pairs = (
             labelled.join(first, "bucket")
