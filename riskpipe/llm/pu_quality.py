@@ -9,12 +9,12 @@ trained by non-negative unbiased risk: with class prior p and loss l,
 and where the second part falls below zero, a step is taken to raise it again. The prior is
 estimated first: a classifier of positives against unlabelled texts is split into thresholds, and
 the least share of unlabelled over positive texts above one of them, with a margin for the sample
-size, bounds the share of positives from above.
+size, bounds the share of positives from above. The unlabelled texts above each are counted over all rows.
 
 Rows whose ``crc32`` of the id, modulo 4, is 2 are held out: neither their labels nor their texts
 are learned from. Labels, language, source and id are no inputs of a score. One pass makes the
-measures of all texts; training collects those of at most ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
-rows, chosen by a hash of the id; all texts are scored.
+measures of all texts; training collects those of about ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
+rows, chosen by a hash of the id below a bound that follows from their number; all texts are scored.
 
 A null text is empty and has a score like any other. A null id is not held out and not learned from.
 Without a positive to learn from every score is 0.5. Repeated rows are scored row by row.
@@ -23,13 +23,14 @@ Without a positive to learn from every score is 0.5. Repeated rows are scored ro
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskpipe.llm.shared import checkpointed, map_columns, texts
+from riskpipe.llm.shared import about, checkpointed, map_columns, texts
 
 MAX_POSITIVE = 20_000
 MAX_UNLABELLED = 40_000
@@ -170,40 +171,65 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Network
     return net
 
 
-def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The share of positives among the unlabelled, from the cleanest top of a ranking."""
-    p_test, u_test = positive[1::2], unlabelled[1::2]
-    if not len(p_test) or not len(u_test):
-        return 0.5
-    net = Network(np.vstack([positive[::2], unlabelled[::2]]))
-    _descend(net, positive[::2], unlabelled[::2], lambda p, u: (-_sigmoid(-p), _sigmoid(u)), EPOCHS // 2)
-    above_p = np.sort(net.margin(p_test))[::-1]
-    above_u = np.sort(net.margin(u_test))
+def ranking(positive: np.ndarray, unlabelled: np.ndarray) -> Network:
+    """A network that ranks positives before unlabelled rows."""
+    net = Network(np.vstack([positive, unlabelled]))
+    _descend(net, positive, unlabelled, lambda p, u: (-_sigmoid(-p), _sigmoid(u)), EPOCHS // 2)
+    return net
+
+
+def estimated_prior(positive: np.ndarray, counted: Callable[[np.ndarray], tuple[np.ndarray, int]]) -> float:
+    """The share of positives among the unlabelled, from the cleanest top of a ranking.
+
+    ``positive`` are the scores of positives that the ranking was not made from. ``counted`` tells, for
+    rising scores, how many of the unlabelled rows have each or more, and how many rows there are.
+    """
+    above_p = np.sort(positive)[::-1]
     ranks = np.unique(np.linspace(1, len(above_p), 200).astype(int))
     share_p = ranks / len(above_p)
-    share_u = 1 - np.searchsorted(above_u, above_p[ranks - 1], "left") / len(above_u)
-    margin = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(above_u)) + 1 / np.sqrt(len(above_p)))
+    above, n = counted(above_p[ranks - 1][::-1])
+    share_u = above[::-1] / max(1, n)
+    margin = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(max(1, n)) + 1 / np.sqrt(len(above_p)))
     best = np.argmin((share_u + margin) / share_p)
     return float(np.clip(share_u[best] / share_p[best], 0.01, 0.99))
 
 
+def counts_above(rows: DataFrame, net: Network, scores: np.ndarray) -> tuple[np.ndarray, int]:
+    """How many ``measures`` of ``rows`` score at least each of the rising ``scores``; and all rows."""
+
+    def binned(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(scores) + 1, np.int64)
+        for batch in source:
+            if batch.num_rows:
+                values = net.margin(batch["measures"].flatten().to_numpy().reshape(-1, N_MEASURES))
+                counts += np.bincount(np.searchsorted(scores, values, "right"), minlength=len(scores) + 1)
+        yield pa.RecordBatch.from_pydict({"bin": np.arange(len(counts)), "n": counts})
+
+    found = rows.select("measures").mapInArrow(binned, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    counts = np.zeros(len(scores) + 1, np.int64)
+    for r in found.collect():  # a row per score
+        counts[r["bin"]] = r["n"]
+    return counts[::-1].cumsum()[::-1][1:], int(counts.sum())
+
+
 def fit(rows: DataFrame, labels: DataFrame) -> tuple[Network | None, float]:
     """The network and the prior from ``measured`` rows and ``labels`` (``doc_id, quality``)."""
     rows = rows.filter("not held_out and doc_id is not null").select("doc_id", "measures")
     trusted = labels.filter("quality = 1").select("doc_id").distinct()
-    order = F.xxhash64("doc_id")
 
     def sample(df: DataFrame, most: int) -> np.ndarray:
-        found = df.withColumn("order", order).orderBy("order", "doc_id").limit(most)
-        return np.array([r["measures"] for r in found.select("measures").collect()]).reshape(
-            -1, N_MEASURES
-        )
+        found = about(df, most, "doc_id").collect()
+        found.sort(key=lambda r: (r["doc_id"], r["measures"]))
+        return np.array([r["measures"] for r in found]).reshape(-1, N_MEASURES)
 
     positive = sample(rows.join(trusted, "doc_id"), MAX_POSITIVE)
     unlabelled = sample(rows, MAX_UNLABELLED)
     if not len(positive):
         return None, 0.5
-    prior = estimated_prior(positive, unlabelled)
+    prior = 0.5
+    if len(positive) > 1 and len(unlabelled) > 1:
+        net = ranking(positive[::2], unlabelled[::2])
+        prior = estimated_prior(net.margin(positive[1::2]), lambda scores: counts_above(rows, net, scores))
     return train(positive, unlabelled, prior), prior
 
 

@@ -29,7 +29,6 @@ SYMBOLS = r"[^#*$%&|<>]+"
 WINDOW = 8
 #: Documents that cost and selectivity are estimated on; bounds nothing but that estimate.
 SAMPLE_ROWS = 1000
-SAMPLE_FRACTION = 0.2
 
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
@@ -158,7 +157,8 @@ class Estimate:
 
 def estimate(df: DataFrame, rules: Sequence[Rule]) -> list[Estimate]:
     """Cost and selectivity of each rule on a sample, best first; ties in the order given."""
-    sample = checkpointed(df.select("text").sample(SAMPLE_FRACTION, 0).limit(SAMPLE_ROWS))
+    share = min(1.0, SAMPLE_ROWS / max(1, df.count()))
+    sample = checkpointed(df.select("text").sample(share, 0).repartition(1))
 
     def run(condition: Column) -> tuple[int, int]:
         return tuple(sample.agg(F.count_if(condition), F.count("*")).first())

@@ -62,6 +62,18 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def about(df: DataFrame, most: int, *key: str) -> DataFrame:
+    """About ``most`` rows of ``df``, by a hash of their ``key``; all of them if there are no more.
+
+    The rows are counted first, so that the sample is as large wherever it lies; a limit would
+    take its rows from every partition. ``key`` should tell rows apart.
+    """
+    n = df.count()
+    if n <= most:
+        return df
+    return df.filter(F.pmod(F.xxhash64(*key), F.lit(1 << 32)) < F.lit(most * (1 << 32) // n))
+
+
 @contextmanager
 def workspace(spark: SparkSession) -> Iterator[str]:
     """A new path in the shared folder for tables that nothing needs afterwards."""

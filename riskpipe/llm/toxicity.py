@@ -10,7 +10,7 @@ them do. Other categories can be given as any 0/1 columns.
 
 Features are a text's distinct words in lower case and their first five, six and seven letters, so
 that forms of an abusive stem count together; they are hashed into 2^18 places. Models are fitted on
-at most ``MAX_PER_CLASS`` labelled rows with, and as many without, each of the two labels, chosen by
+about ``MAX_PER_CLASS`` labelled rows with, and as many without, each of the two labels, chosen by
 a hash of the id. All texts are scored, whole.
 
 A null text is empty. Null labels are no labels, and ids that several rows carry are learned from
@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskpipe.llm.shared import checkpointed, map_columns, texts
+from riskpipe.llm.shared import about, checkpointed, map_columns, texts
 
 PLACES = 1 << 18
 PREFIXES = (5, 6, 7)
@@ -188,11 +188,11 @@ def learn(df: DataFrame, labels: DataFrame) -> list[Linear]:
     )
 
     def chosen(condition: str) -> DataFrame:
-        return known.filter(condition).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_PER_CLASS)
+        return about(known.filter(condition), MAX_PER_CLASS, "doc_id")
 
     picks = [chosen(c) for c in ("toxic = 1", "toxic = 0", "quality = 0", "quality = 1")]
     sample = checkpointed(picks[0].union(picks[1]).union(picks[2]).union(picks[3]).distinct())
-    # at most 4 * MAX_PER_CLASS rows of three numbers
+    # about 4 * MAX_PER_CLASS rows of three numbers
     bodies = texts(df).join(F.broadcast(sample), "doc_id").select(
         F.struct("doc_id", "quality", "toxic").alias("key"), "text"
     )

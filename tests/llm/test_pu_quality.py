@@ -38,7 +38,7 @@ def test_held_out_labels_change_nothing(tables):
     assert pu.scored(docs, turned).collect() == base
 
 
-def test_prior_and_risk_on_known_mixtures():
+def test_prior_and_risk_on_known_mixtures(spark):
     rng = np.random.default_rng(2)
     for prior in (0.3, 0.7):
         def draw(n, share):
@@ -48,7 +48,13 @@ def test_prior_and_risk_on_known_mixtures():
             return x, side
         positive, _ = draw(1500, 1.0)
         unlabelled, _ = draw(4000, prior)
-        found = pu.estimated_prior(positive, unlabelled)
+        net = pu.ranking(positive[::2], unlabelled[::2])
+        rows = spark.createDataFrame([(x.tolist(),) for x in unlabelled], "measures array<double>").repartition(3)
+        scores = np.sort(net.margin(positive[1::2]))[::50]
+        above, n = pu.counts_above(rows, net, scores)
+        margins = net.margin(unlabelled)
+        assert n == 4000 and above.tolist() == [int((margins >= s).sum()) for s in scores]
+        found = pu.estimated_prior(net.margin(positive[1::2]), lambda s: pu.counts_above(rows, net, s))
         assert abs(found - prior) < 0.08
         net = pu.train(positive, unlabelled, found)
         x, side = draw(2000, 0.5)
