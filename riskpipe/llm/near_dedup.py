@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskpipe.llm.linking import grouped, shared_members
-from riskpipe.llm.shared import checkpointed, map_columns, texts
+from riskpipe.llm.shared import checkpointed, map_columns, release, texts
 
 SHINGLE_WORDS = 5
 PERCENT = 85
@@ -208,7 +208,9 @@ def _rooted(df: DataFrame, percent: int) -> DataFrame:
     known = checkpointed(
         signed.join(chosen, F.col("row") == F.col("node")).select("node", "key", "n_shingles", "sketch")
     )
+    release(df.sparkSession)
     sets = checkpointed(_full_sets(df, known))
+    release(df.sparkSession)
 
     def test(pairs: DataFrame) -> DataFrame:
         a = known.select(F.col("node").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("s"))
