@@ -397,7 +397,7 @@ class Counts:
     def __init__(self, df: DataFrame, folder: str, least: int = LEAST, head: int = HEAD) -> None:
         self.spark: SparkSession = df.sparkSession
         self.folder, self.least, self.head = folder, least, head
-        every = self._staged("words", word_counts(df))
+        every = self.staged("words", word_counts(df))
         self.totals = every.filter("word is null").select("lang", F.col("n").alias("total"))
         every = every.filter("word is not null")
         frequent = every.filter(F.col("n") >= least)
@@ -409,7 +409,7 @@ class Counts:
         for rank, (lang, word) in enumerate(pairs):
             ranks.setdefault(lang, {})[word] = rank
         table = first.append_column("id", pa.array(np.arange(len(first))))
-        self.head_words = self._staged(
+        self.head_words = self.staged(
             "head", self.spark.createDataFrame(table, "lang string, word string, n long, id long")
         )
         tail = frequent.filter(F.col("n") < floor)
@@ -417,9 +417,9 @@ class Counts:
         self.tail_words = None
         if tail.take(1):
             seed = _unique_seed(every.filter(F.col("n") < floor))
-            self.tail_words = self._staged("tail", _hash_ids(tail, seed).select("id", "lang", "word", "n"))
+            self.tail_words = self.staged("tail", _hash_ids(tail, seed).select("id", "lang", "word", "n"))
             rare = _rare(seed, sieve(self.tail_words.select(F.array("id").alias("words"))))
-        runs = self._staged("runs", id_runs(df, ranks, rare))
+        runs = self.staged("runs", id_runs(df, ranks, rare))
         self.phrases: list[DataFrame] = []
         known, prefixes = None, None
         for size in range(2, LONGEST + 1):
@@ -432,9 +432,9 @@ class Counts:
                 .agg(F.sum("n").alias("n"))
                 .filter(F.col("n") >= least)
             )
-            self.phrases.append(self._staged(f"phrases{size}", _spelled(counted, prefixes)))
+            self.phrases.append(self.staged(f"phrases{size}", _spelled(counted, prefixes)))
 
-    def _staged(self, name: str, df: DataFrame) -> DataFrame:
+    def staged(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
@@ -532,21 +532,40 @@ def _covered(counts: Counts) -> DataFrame:
     return reduce(DataFrame.union, inner).groupBy("words").agg(F.max("n").alias("around"))
 
 
+def _step() -> Column:
+    """Scores by steps of a thousandth of the highest there can be."""
+    return F.floor(F.col("score") / (SCALE // 2000))
+
+
+def _least_steps(scored: DataFrame, top: int) -> DataFrame:
+    """``lang, least``: the step of scores from which on each lang has its best ``top``, all told.
+
+    A thousand counts a lang settle it, so that no more than about the best have to be put in order.
+    """
+    counted = scored.groupBy("lang", _step().alias("step")).agg(F.count("*").alias("n"))
+    higher = Window.partitionBy("lang").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    needed = counted.withColumn("higher", F.coalesce(F.sum("n").over(higher), F.lit(0))).filter(F.col("higher") < top)
+    return needed.groupBy("lang").agg(F.min("step").alias("least"))
+
+
 def collocations(df: DataFrame, least: int = LEAST, top: int = TOP, head: int = HEAD) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of the best ``top`` phrases of every lang of ``lang, text``."""
     with workspace(df.sparkSession) as folder:
         counts = Counts(df, folder, least, head)
-        free = (
+        free = counts.staged(
+            "free",
             _scored(counts)
             .join(_covered(counts), "words", "left")
-            .filter(
-                F.col("around").isNull() | (_exact("around") * 100 < _exact("a") * COVERED_PERCENT)
-            )
-            .drop("around")
+            .filter(F.col("around").isNull() | (_exact("around") * 100 < _exact("a") * COVERED_PERCENT))
+            .drop("around"),
         )
         order = [F.desc("score"), F.desc("a")]
-        best = free.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(
-            F.col("place") <= top
+        best = (
+            free.join(_least_steps(free, top), "lang")
+            .filter(_step() >= F.col("least"))
+            .drop("least")
+            .withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order)))
+            .filter(F.col("place") <= top)
         )
         spelled = counts.with_word(best.select("*", F.posexplode("words").alias("at", "id")))
         parts = F.sort_array(F.collect_list(F.struct("at", "word")))
