@@ -23,10 +23,12 @@ NOT_JSON, NOT_OBJECT, WRONG_TYPE = "not JSON", "not a JSON object", "no number:
 _NUMBERS = "'^(BIGINT|DOUBLE|FLOAT|DECIMAL.*|VOID)$'"
 
 
-def reason(record: str = CORRUPT, schema: StructType = RECORD_SCHEMA) -> Column:
-    """Why a record did not parse: no JSON, no object, or the fields that should be numbers."""
+def reason(value: str, schema: StructType = RECORD_SCHEMA) -> Column:
+    """Why a record did not parse: no JSON, no object, or the fields that should be numbers.
+
+    ``value`` is a column of variants, as it is read once for every field.
+    """
     names = [f.name for f in schema if isinstance(f.dataType, DoubleType)]
-    value = f"try_parse_json({record})"
     odd = ", ".join(
         f"IF(schema_of_variant(try_variant_get({value}, {literal('$.' + name)}, 'variant')) "
         f"RLIKE {_NUMBERS}, NULL, "
@@ -44,8 +46,8 @@ def broken_records(records: DataFrame, schema: StructType = RECORD_SCHEMA) -> Da
     """``file, reason, record`` of the records that did not parse."""
     return (
         records.filter(F.col(CORRUPT).isNotNull())
-        .select("file", F.col(CORRUPT).alias("record"))
-        .select("file", reason("record", schema).alias("reason"), "record")
+        .select("file", F.col(CORRUPT).alias("record"), F.expr(f"try_parse_json({CORRUPT})").alias("value"))
+        .select("file", reason("value", schema).alias("reason"), "record")
     )
 
 

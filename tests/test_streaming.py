@@ -18,6 +18,7 @@ from riskpipe.streaming import (
     write_stream,
 )
 from riskpipe.streaming.quarantine import CORRUPT, NOT_JSON, NOT_OBJECT, WRONG_TYPE
+from verification import tables
 
 
 def stream_of(spark, tmp_path, n_files=4, n_rows=5):
@@ -125,6 +126,26 @@ def test_broken_records_are_listed_with_file_and_reason(spark, tmp_path):
     assert kept == ["None", "P1", "P2", "P7"]
 
 
+def test_a_broken_record_is_parsed_once_for_all_its_fields(spark):
+    batch = spark.createDataFrame([(LINES["words"], "f")], f"{CORRUPT} string, file string")
+    broken = broken_records(batch)
+    assert [r["reason"] for r in broken.collect()] == [WRONG_TYPE + "BMI, Age"]
+    plan = broken._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
+
+
+def test_records_are_made_by_as_many_tasks_as_their_number_needs(spark, tmp_path, monkeypatch):
+    spark.sql("SELECT explode(array(1L, 2L, 2L, NULL, NULL, 7L, 8L, 9L)) AS c_custkey").coalesce(1).write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    whole = sorted(map(str, tables.patients(spark, str(tmp_path)).collect()))
+    assert len(whole) == 8
+    monkeypatch.setattr(tables, "TASK_RECORDS", 2, raising=False)
+    dealt = tables.patients(spark, str(tmp_path))
+    assert dealt.rdd.getNumPartitions() == 4
+    assert sorted(map(str, dealt.collect())) == whole
+
+
 def test_a_batch_without_broken_records_lists_nothing(spark, tmp_path):
     wider = StructType([StructField("patient_id", StringType()), StructField(CORRUPT, StringType()), StructField("file", StringType())])
     seen = []
