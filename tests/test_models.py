@@ -241,6 +241,18 @@ def test_a_forest_does_not_depend_on_files_or_cores(spark, records):
     assert found[0] == found[1] and len(found[0]) > 20
 
 
+def test_deep_forests_keep_the_nodes_of_rows_and_grow_the_same_trees(spark, records):
+    assert forest().getCacheNodeIds() and not forest(20, 6).getCacheNodeIds()
+    rows = stage(training_rows(records, "lungcancer"))
+    deep = forest(trees=6, depth=9)
+    grown = [
+        train(rows, SPECS["lungcancer"], classifier=deep.copy({deep.cacheNodeIds: kept})).model.forest
+        for kept in (False, True)
+    ]
+    trees = [[tree.toDebugString.split("\n", 1)[1] for tree in one.trees] for one in grown]
+    assert trees[0] == trees[1] and max(tree.depth for tree in grown[1].trees) > 6
+
+
 def test_parts_follow_from_the_rows_alone():
     assert [training_parts(n, 21) for n in (0, 1, 1000, 1001, 12_000, 10**6)] == [1, 1, 1, 2, 12, 32]
     for rows, features in ((10**9, 21), (10**11, 200)):
