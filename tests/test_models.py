@@ -26,6 +26,7 @@ from riskpipe.plans.learning import side_by_side, training_parts
 from riskpipe.sources import read_stream, stage, write_table
 from riskpipe.spec import RECORD_FIELDS, RECORD_SCHEMA, SPECS
 from riskpipe.streaming import fan_out, load_models, start_scoring, write_stream
+from verification import queries, tables
 from verification.synthetic import synthesize_patients
 from verification.tables import training_rows
 
@@ -253,6 +254,21 @@ def test_deep_forests_keep_the_nodes_of_rows_and_grow_the_same_trees(spark, reco
     assert trees[0] == trees[1] and max(tree.depth for tree in grown[1].trees) > 6
 
 
+def test_the_stream_and_the_batch_share_records_in_even_files(spark, models, tmp_path, monkeypatch):
+    spark.range(1, 601).selectExpr("id AS c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    made = []
+
+    def counted(*given):
+        made.append(tables.gappy_patients(*given))
+        return made[-1]
+
+    monkeypatch.setattr(queries, "gappy_patients", counted)
+    monkeypatch.setattr(queries, "_models", lambda *given: models)
+    found = queries.stream_matches_batch(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == [(name, 600, 600) for name in sorted(SPECS)]
+    assert len(made) == 1 and all(len(made[0].inputFiles()) % cores == 0 for cores in (6, 8, 12, 16))
+
+
 def test_parts_follow_from_the_rows_alone():
     assert [training_parts(n, 21) for n in (0, 1, 1000, 1001, 12_000, 10**6)] == [1, 1, 1, 2, 12, 32]
     for rows, features in ((10**9, 21), (10**11, 200)):

@@ -822,12 +822,10 @@ def score_invariants(spark, sf_dir):
     )
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str, gappy: DataFrame) -> DataFrame:
     work = staging_dir(spark)
     # NaN is no JSON number, so the records keep their other gaps only.
-    records = gappy_patients(spark, sf_dir).withColumn(
-        "avg_glucose_level", F.expr("nanvl(avg_glucose_level, NULL)")
-    )
+    records = gappy.withColumn("avg_glucose_level", F.expr("nanvl(avg_glucose_level, NULL)"))
     records.write.json(f"{work}/in")
     start_scoring(
         spark,
@@ -847,16 +845,15 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_scores(spark, sf_dir):
-    return _streamed(spark, sf_dir)
+    return _streamed(spark, sf_dir, gappy_patients(spark, sf_dir))
 
 
 @query
 def stream_matches_batch(spark, sf_dir):
     """Per dataset: streamed rows, and how many of them the batch path gives as well."""
-    streamed = _streamed(spark, sf_dir).withColumn("side", F.lit(1))
-    batch = score(gappy_patients(spark, sf_dir), _models(spark, sf_dir)).withColumn(
-        "side", F.lit(-1)
-    )
+    gappy = gappy_patients(spark, sf_dir)
+    streamed = _streamed(spark, sf_dir, gappy).withColumn("side", F.lit(1))
+    batch = score(gappy, _models(spark, sf_dir)).withColumn("side", F.lit(-1))
     same = (
         streamed.unionByName(batch)
         .groupBy("patient_id", "timestamp", "dataset", "risk", "probability", "error")

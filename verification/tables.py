@@ -47,7 +47,9 @@ WIDE_ORDERS = DatasetSpec(
     target_type="string",
 )
 WIDE_FROM = 10
-FILES = 16
+#: Many core counts divide it: files of one size are read by as many tasks as there are cores if that comes out even,
+#: and else by a few more, for which all others wait.
+FILES = 48
 #: Records that one task makes.
 TASK_RECORDS = 50_000
 
