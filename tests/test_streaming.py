@@ -18,7 +18,7 @@ from riskpipe.streaming import (
     write_stream,
 )
 from riskpipe.streaming.quarantine import CORRUPT, NOT_JSON, NOT_OBJECT, WRONG_TYPE
-from verification import tables
+from verification import queries, tables
 
 
 def stream_of(spark, tmp_path, n_files=4, n_rows=5):
@@ -156,3 +156,13 @@ def test_a_batch_without_broken_records_lists_nothing(spark, tmp_path):
     write(batch, 0)
     assert [[tuple(r) for r in b] for b in seen] == [[("P",)]]
     assert sound_records(batch).columns == ["patient_id"] and broken_records(batch).count() == 0
+
+
+def test_the_stream_of_wide_category_scores_has_work_for_many_tasks(spark, tmp_path, monkeypatch):
+    rows = [(i, i % 40, "FOP"[i % 3], float(i * 37 % 1000), f"{i % 5}-X") for i in range(400)]
+    names = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "sf" / "orders.parquet"))
+    monkeypatch.setattr(queries, "staging_dir", lambda spark: str(tmp_path / "work"))
+    counts = queries.wide_category_scores(spark, str(tmp_path / "sf")).first()
+    assert tuple(counts) == (400, 400, 400, 400)
+    assert len(list((tmp_path / "work" / "in").glob("part-*"))) > 12  # cores of the cluster
