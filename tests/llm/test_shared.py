@@ -1,6 +1,8 @@
 import time
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from riskpipe.llm import near_dedup
 from riskpipe.llm.shared import about, checkpointed, release, shared_folder
 
@@ -48,3 +50,25 @@ def test_a_sample_is_as_large_in_any_number_of_partitions(spark):
         assert abs(about(df.repartition(parts), 1000, "id").count() - 1000) < 150
     assert about(df, 20_000, "id").count() == 20_000
     assert about(df.limit(0), 10, "id").count() == 0
+
+
+def test_release_drops_shuffles_at_once(spark, tmp_path):
+    files = lambda: {
+        f.getName()
+        for f in [every.apply(i) for every in [_all_files(spark)] for i in range(every.size())]
+        if f.getName().startswith("shuffle_")
+    }
+    release(spark)
+    time.sleep(2)
+    before = files()
+    df = spark.range(20000).groupBy((F.col("id") % 999).alias("k")).count()
+    df.write.parquet(str(tmp_path / "t"))
+    assert files() - before
+    del df
+    release(spark)
+    time.sleep(1.5)  # for Spark's cleaner
+    assert not files() - before
+
+
+def _all_files(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
